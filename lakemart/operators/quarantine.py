@@ -39,7 +39,7 @@ def classify(raw: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame])
         _COPY, F.when(F.col(_RULE).isNotNull(), F.monotonically_increasing_id())
     )
     latest = latest_state(tagged, [spec.key, _COPY], spec.recency).drop(_COPY)
-    restated = restate(latest, spec)
+    restated = restate(latest, spec, F.col(_RULE).isNull())
     checked = with_fk_reason(restated, spec.foreign_keys, parents, REASON)
     return checked.withColumn(REASON, F.coalesce(F.col(_RULE), F.col(REASON))).drop(_RULE)
 

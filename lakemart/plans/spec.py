@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions.columns import clean_id, named, safe_cast
@@ -72,7 +72,12 @@ def conform(raw: DataFrame, spec: TableSpec) -> DataFrame:
     )
 
 
-def restate(df: DataFrame, spec: TableSpec) -> DataFrame:
-    """Apply the restatements whose columns are all present."""
+def restate(df: DataFrame, spec: TableSpec, where: Column | None = None) -> DataFrame:
+    """Apply the restatements whose columns are all present, to rows matching ``where``."""
     usable = [r for r in spec.restatements if set(r.needs) <= set(df.columns)]
-    return df.withColumns({r.column: F.expr(r.value) for r in usable}) if usable else df
+    if not usable:
+        return df
+    where = F.lit(True) if where is None else where
+    return df.withColumns(
+        {r.column: F.when(where, F.expr(r.value)).otherwise(F.col(r.column)) for r in usable}
+    )
