@@ -13,6 +13,7 @@ from lakemart.operators.quality import (
     quality_report,
     require_pass,
 )
+from lakemart.plans.concurrent import each
 from lakemart.plans.logistics import SPECS
 from lakemart.plans.marts import MARTS, Mart
 from lakemart.sinks.paths import delete, swap_in
@@ -53,13 +54,16 @@ def run_gold(spark: SparkSession, lake: str, mode: str = "replace") -> DataFrame
         raise ValueError(f"mode must be replace or upsert, not {mode}")
     silver = {name: read_silver(spark, lake, name) for name in SPECS}
     staged: dict[str, str] = {}
+
+    def write(mart: Mart) -> None:
+        df, target = stamped(mart.build(silver)), f"{lake}/gold/{mart.name}"
+        if mode == "replace":
+            staged[mart.name] = stage(df, target)
+        else:
+            staged[mart.name] = stage_upsert(df, target, mart.key)
+
     try:
-        for name, df in build_marts(silver).items():
-            target = f"{lake}/gold/{name}"
-            if mode == "replace":
-                staged[name] = stage(stamped(df), target)
-            else:
-                staged[name] = stage_upsert(stamped(df), target, MARTS[name].key)
+        each(spark, write, MARTS.values())
         written = {name: read_path(spark, path) for name, path in staged.items()}
         require_pass(
             grain_check({n: (df, MARTS[n].key) for n, df in written.items()}), "grain"

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.operators.quarantine import REASON, accepted, classify
+from lakemart.plans.concurrent import each
 from lakemart.plans.logistics import SPECS
 from lakemart.plans.spec import TableSpec
 from lakemart.sinks.quarantine import (
@@ -49,22 +50,33 @@ def run_silver(
 
     Per table there is one read of the batch and one write. The written table cuts the
     lineage: children check their keys against Parquet, and a lost executor costs the
-    running table only.
+    running table only. Tables whose parents are published are built side by side.
     """
     published: dict[str, DataFrame] = {}
-    counts = []
-    for name, spec in specs.items():
+
+    def build(name: str) -> list[tuple]:
         batch = raw[name] if raw is not None else read_bronze(spark, lake, name)
-        classified = classify(batch, spec, published)
+        classified = classify(batch, specs[name], published)
         silver = f"{lake}/silver/{name}"
         staged = stage_classified(classified, silver)
-        counts += outcome_counts(spark, staged, classified.schema, name).collect()
-        publish_classified(
-            spark, staged, classified.schema, silver, f"{lake}/quarantine/{name}"
-        )
-        published[name] = read_silver(spark, lake, name)
+        counts = outcome_counts(spark, staged, classified.schema, name).collect()
+        publish_classified(spark, staged, classified.schema, silver, f"{lake}/quarantine/{name}")
+        return [tuple(r) for r in counts]
+
+    counts: list[tuple] = []
+    while len(published) < len(specs):
+        ready = [
+            n
+            for n, spec in specs.items()
+            if n not in published and all(e.parent in published for e in spec.foreign_keys)
+        ]
+        if not ready:
+            raise ValueError(f"foreign keys form a cycle: {sorted(set(specs) - set(published))}")
+        for rows in each(spark, build, ready):
+            counts += rows
+        published |= {n: read_silver(spark, lake, n) for n in ready}
     outcomes = spark.createDataFrame(
-        [tuple(r) for r in counts], "table_name string, outcome string, row_count long"
+        counts, "table_name string, outcome string, row_count long"
     )
     write_report(silver_report(outcomes, specs), f"{lake}/reports/silver_quality_report")
     return outcomes
