@@ -7,6 +7,7 @@ from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakemart.plans.concurrent import each
 from lakemart.plans.logistics import SPECS
 from lakemart.sinks.landing import SUMMARY_SCHEMA, land, manifest, manifest_row, write_manifest
 from lakemart.sources.raw import check_tables, list_files
@@ -24,18 +25,22 @@ def run_bronze(
     """
     files = list_files(spark, source)
     check_tables(files, expected)
-    described, summary = [], []
-    # One row per delivered file: control data, not the batch itself.
-    for file in files.orderBy("table_name", "file_name").collect():
+
+    def ingest(file) -> tuple[tuple | None, tuple]:
         target = f"{lake}/bronze/{file.table_name}/{file.file_name}"
         try:
-            land(spark, file.path, target)
-            row = manifest_row(spark, file.table_name, file.file_name, file.size_bytes, target)
-            described.append(row)
-            summary.append((file.table_name, "SUCCESS", row[4], row[5], None))
+            rows = land(spark, file.path, target)
+            row = manifest_row(
+                spark, file.table_name, file.file_name, file.size_bytes, target, rows
+            )
+            return row, (file.table_name, "SUCCESS", rows, row[5], None)
         except Exception as error:  # one bad file must not stop the rest
             log.error("%s: %s", file.table_name, error)
-            summary.append((file.table_name, "FAILED", None, None, str(error)))
+            return None, (file.table_name, "FAILED", None, None, str(error))
+
+    # One row per delivered file: control data, not the batch itself.
+    landed = each(spark, ingest, files.orderBy("table_name", "file_name").collect())
+    described = [row for row, _ in landed if row is not None]
     if described:
         write_manifest(manifest(spark, described), f"{lake}/metadata/bronze_manifest")
-    return spark.createDataFrame(summary, SUMMARY_SCHEMA)
+    return spark.createDataFrame([summary for _, summary in landed], SUMMARY_SCHEMA)

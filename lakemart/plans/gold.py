@@ -6,6 +6,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from lakemart.operators.quality import (
     control_totals,
@@ -54,9 +55,11 @@ def run_gold(spark: SparkSession, lake: str, mode: str = "replace") -> DataFrame
         raise ValueError(f"mode must be replace or upsert, not {mode}")
     silver = {name: read_silver(spark, lake, name) for name in SPECS}
     staged: dict[str, str] = {}
+    schemas: dict[str, StructType] = {}
 
     def write(mart: Mart) -> None:
         df, target = stamped(mart.build(silver)), f"{lake}/gold/{mart.name}"
+        schemas[mart.name] = df.schema
         if mode == "replace":
             staged[mart.name] = stage(df, target)
         else:
@@ -64,7 +67,7 @@ def run_gold(spark: SparkSession, lake: str, mode: str = "replace") -> DataFrame
 
     try:
         each(spark, write, MARTS.values())
-        written = {name: read_path(spark, path) for name, path in staged.items()}
+        written = {name: read_path(spark, path, schemas[name]) for name, path in staged.items()}
         require_pass(
             grain_check({n: (df, MARTS[n].key) for n, df in written.items()}), "grain"
         )

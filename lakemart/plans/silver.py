@@ -54,14 +54,15 @@ def run_silver(
     """
     published: dict[str, DataFrame] = {}
 
-    def build(name: str) -> list[tuple]:
+    def build(name: str) -> tuple[DataFrame, list[tuple]]:
         batch = raw[name] if raw is not None else read_bronze(spark, lake, name)
         classified = classify(batch, specs[name], published)
         silver = f"{lake}/silver/{name}"
         staged = stage_classified(classified, silver)
         counts = outcome_counts(spark, staged, classified.schema, name).collect()
         publish_classified(spark, staged, classified.schema, silver, f"{lake}/quarantine/{name}")
-        return [tuple(r) for r in counts]
+        kept = classified.drop(REASON).schema
+        return read_silver(spark, lake, name, schema=kept), [tuple(r) for r in counts]
 
     counts: list[tuple] = []
     while len(published) < len(specs):
@@ -72,9 +73,9 @@ def run_silver(
         ]
         if not ready:
             raise ValueError(f"foreign keys form a cycle: {sorted(set(specs) - set(published))}")
-        for rows in each(spark, build, ready):
+        for name, (table, rows) in zip(ready, each(spark, build, ready)):
+            published[name] = table
             counts += rows
-        published |= {n: read_silver(spark, lake, n) for n in ready}
     outcomes = spark.createDataFrame(
         counts, "table_name string, outcome string, row_count long"
     )

@@ -2,18 +2,15 @@
 
 from __future__ import annotations
 
-import logging
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lakemart.functions.columns import named
-from lakemart.sinks.paths import staging_path, swap_in
+from lakemart.sinks.paths import delete, staging_path, swap_in
 from lakemart.sources.raw import raw_csv
 
-log = logging.getLogger(__name__)
-
 MANIFEST_SCHEMA = (
     "table_name string, source_file string, bronze_file string, source_file_size_bytes long, "
     "row_count long, column_count int, columns array<string>"
@@ -30,6 +27,7 @@ _WHOLE_LINES = {
     "escape": "\u0000",
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
+    "mode": "FAILFAST",
 }
 
 
@@ -38,30 +36,37 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.options(**_WHOLE_LINES).csv(path)
 
 
-def land(spark: SparkSession, source: str, target: str) -> None:
+def land(spark: SparkSession, source: str, target: str) -> int:
     """Copy a raw CSV file, line by line and unparsed, into the folder ``target``.
 
-    Landing the same file again replaces its folder.
+    Returns the number of data lines, counted while they are written. A file with one of
+    the two control characters is refused. Landing a file again replaces its folder.
     """
     lines = read_lines(spark, source)
     if not lines.columns:
         raise ValueError(f"{source}: no header")
-    if len(lines.columns) > 1:
-        raise ValueError(f"{source}: holds the control character used to keep lines whole")
-    broken = lines.where(F.contains(named(lines.columns[0]), F.lit(_WHOLE_LINES["quote"])))
-    if not broken.isEmpty():
-        raise ValueError(f"{source}: holds NUL characters")
+    line = named(lines.columns[0])
+    counted = Observation()
+    observed = lines.observe(
+        counted,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.contains(line, F.lit(_WHOLE_LINES["quote"]))).alias("unsafe"),
+    )
     staged = staging_path(target)
-    lines.write.options(**_WHOLE_LINES, emptyValue="", nullValue="").csv(staged)
+    observed.write.options(**_WHOLE_LINES, emptyValue="", nullValue="").csv(staged)
+    if counted.get["unsafe"] or len(lines.columns) > 1:
+        delete(spark, staged)
+        raise ValueError(f"{source}: holds control characters")
     swap_in(spark, staged, target)
+    return counted.get["rows"]
 
 
 def manifest_row(
-    spark: SparkSession, table: str, source_name: str, size: int, bronze: str
+    spark: SparkSession, table: str, source_name: str, size: int, bronze: str, rows: int
 ) -> tuple:
-    """Description of one landed file, counted by the reader that Silver uses."""
-    landed = raw_csv(spark, bronze)
-    return table, source_name, bronze, size, landed.count(), len(landed.columns), landed.columns
+    """Description of one landed file."""
+    columns = raw_csv(spark, bronze).columns
+    return table, source_name, bronze, size, rows, len(columns), columns
 
 
 def manifest(spark: SparkSession, rows: Sequence[tuple]) -> DataFrame:

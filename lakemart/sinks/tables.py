@@ -57,7 +57,7 @@ def stage_upsert(source: DataFrame, target: str, key: str) -> str:
     recover(spark, target)
     batch = stage(source, target)
     try:
-        written = read_path(spark, batch)
+        written = read_path(spark, batch, source.schema)
         check_keys(written, key)
         if not exists(spark, target):
             return stage(written, target)

@@ -6,14 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from lakemart.operators.dedup import latest_state
 
 
-def read_path(spark: SparkSession, path: str) -> DataFrame:
-    """A Parquet table by path."""
+def read_path(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
+    """A Parquet table by path; a known schema saves the look into the files."""
     try:
-        return spark.read.parquet(path)
+        reader = spark.read.schema(schema) if schema is not None else spark.read
+        return reader.parquet(path)
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             raise FileNotFoundError(f"table not found: {path}") from error
@@ -26,13 +28,14 @@ def read_silver(
     table: str,
     key: str | None = None,
     recency: Sequence[str] = (),
+    schema: StructType | None = None,
 ) -> DataFrame:
     """A Silver table.
 
     Silver is unique on its key by construction. Naming ``key`` guards the grain
     of tables that come from elsewhere; the guard costs a shuffle, so it is off by default.
     """
-    df = read_path(spark, f"{lake}/silver/{table}")
+    df = read_path(spark, f"{lake}/silver/{table}", schema)
     return latest_state(df, key, recency) if key else df
 
 
