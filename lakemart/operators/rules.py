@@ -26,7 +26,8 @@ class Rule:
 
 
 def invalid_rows(df: DataFrame, rule: Rule) -> DataFrame:
-    return df.where(rule.broken)
+    # A filter drops unknown anyway; the bare predicate can be pushed into the scan.
+    return df.where(rule.invalid)
 
 
 def valid_rows(df: DataFrame, rule: Rule) -> DataFrame:
