@@ -43,8 +43,9 @@ def land(spark: SparkSession, source: str, target: str) -> int:
     the two control characters is refused. Landing a file again replaces its folder.
     """
     lines = read_lines(spark, source)
-    if not lines.columns:
-        raise ValueError(f"{source}: no header")
+    if len(lines.columns) != 1:
+        problem = "control character in the header" if lines.columns else "no header"
+        raise ValueError(f"{source}: {problem}")
     line = named(lines.columns[0])
     counted = Observation()
     observed = lines.observe(
@@ -53,10 +54,13 @@ def land(spark: SparkSession, source: str, target: str) -> int:
         F.count_if(F.contains(line, F.lit(_WHOLE_LINES["quote"]))).alias("unsafe"),
     )
     staged = staging_path(target)
-    observed.write.options(**_WHOLE_LINES, emptyValue="", nullValue="").csv(staged)
-    if counted.get["unsafe"] or len(lines.columns) > 1:
+    try:
+        observed.write.options(**_WHOLE_LINES, emptyValue="", nullValue="").csv(staged)
+        if counted.get["unsafe"]:
+            raise ValueError(f"{source}: holds NUL characters")
+    except Exception:
         delete(spark, staged)
-        raise ValueError(f"{source}: holds control characters")
+        raise
     swap_in(spark, staged, target)
     return counted.get["rows"]
 

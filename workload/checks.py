@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import functions as F
 
 from lakemart.operators import profiles, quality
@@ -10,9 +12,19 @@ from lakemart.operators.rules import violation_counts
 from lakemart.plans import gold, marts, silver
 from lakemart.plans.gold import run_gold, validate_gold
 from lakemart.plans.logistics import STRICT_CHECKS
+from lakemart.plans.run import published_gate, silver_gate
 from lakemart.session import work_path
-from workload.marts import CUSTOMER, FACILITY, LOAD, daily_sql
-from workload.oracle_roles import ROLES, SILVER, with_roles
+from workload.marts import (
+    CUSTOMER,
+    DELIVERY,
+    DRIVER,
+    FACILITY,
+    LOAD,
+    ROUTE,
+    TRUCK,
+    daily_sql,
+)
+from workload.oracle_roles import SILVER, with_roles
 from workload.roles import customers, loads, raw, scans, table, typed
 
 TABLES = ("customer", "supplier", "part", "orders", "lineitem", "events")
@@ -127,8 +139,6 @@ def frequency_profile_single(spark, sf_dir):
 
 def medallion_run(spark, sf_dir):
     """Silver job, gate, Gold job with its checks, and the report of the published marts."""
-    from lakemart.plans.run import published_gate, silver_gate
-
     lake = work_path(spark, "lake")
     silver.run_silver(spark, lake, raw(spark, sf_dir))
     silver_gate(spark, lake)
@@ -223,6 +233,52 @@ _REPORT_SQL = {
     "trips": ("SELECT * FROM trips", "trip_id"),
 }
 
+
+
+def _on_silver(sql: str) -> str:
+    """Mart SQL over the accepted Silver rows instead of the typed roles."""
+    sql = sql.replace("unique_events", "delivery_events").replace("unique_trips", "trips")
+    return re.sub(rf"\b(FROM|JOIN) ({'|'.join(SILVER)})\b", r"\1 silver_\2", sql)
+
+
+# Marts of the full run: SQL, key, columns with last_ingested_at, numeric columns.
+_PUBLISHED = {
+    "gold_load_performance": (
+        LOAD, "load_id", 21,
+        "weight_lbs pieces revenue total_delivery_events on_time_events total_detention_minutes",
+    ),
+    "gold_delivery_performance": (DELIVERY, "event_id", 19, "detention_minutes revenue"),
+    "gold_driver_performance": (
+        DRIVER, "driver_id", 14,
+        "years_experience total_trips total_distance_miles avg_distance_miles "
+        "avg_duration_hours total_fuel_gallons avg_fuel_gallons "
+        "fuel_efficiency_miles_per_gallon total_idle_time_hours avg_idle_time_hours",
+    ),
+    "gold_truck_performance": (
+        TRUCK, "truck_id", 16,
+        "model_year tank_capacity_gallons total_trips total_distance_miles avg_distance_miles "
+        "total_fuel_gallons avg_fuel_per_trip_gallons fuel_efficiency_miles_per_gallon "
+        "total_idle_time_hours avg_idle_time_hours",
+    ),
+    "gold_facility_performance": (
+        FACILITY, "facility_id", 9,
+        "total_events on_time_events on_time_rate avg_detention_minutes",
+    ),
+    "gold_route_performance": (
+        ROUTE, "route_id", 13,
+        "typical_distance_miles typical_transit_days total_trips avg_trip_duration_hours "
+        "avg_actual_distance_miles avg_fuel_consumed_gallons fuel_efficiency_miles_per_gallon",
+    ),
+    "gold_customer_performance": (
+        CUSTOMER, "customer_id", 10,
+        "total_loads total_revenue avg_revenue_per_load avg_load_weight_lbs total_pieces",
+    ),
+    "gold_daily_operations": (
+        daily_sql("delivery_events"), "event_date", 6,
+        "total_events on_time_events on_time_rate avg_detention_minutes",
+    ),
+}
+
 _TOTAL = "CAST(sum(CAST({} AS DECIMAL(18, 2))) AS DOUBLE)"
 
 ORACLE = {
@@ -312,4 +368,10 @@ ORACLE = {
                CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM trips) AS relative_frequency
         FROM trips GROUP BY 1"""
     ),
+    "medallion_run": with_roles(
+        " UNION ALL ".join(
+            _report(n, _on_silver(sql), key, columns, numeric.split())
+            for n, (sql, key, columns, numeric) in _PUBLISHED.items()
+        )
+    ),
 }
