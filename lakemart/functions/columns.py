@@ -31,9 +31,12 @@ def safe_cast(column: str | Column, to: str) -> Column:
     double instead would lose long precision and accept ``1e3``.
     """
     value = named(column)
-    if to.lower() in INTEGRAL:
-        value = F.regexp_replace(F.trim(value.cast("string")), r"^([+-]?\d+)\.\d*$", "$1")
-    return value.try_cast(to)
+    if to.lower() not in INTEGRAL:
+        return value.try_cast(to)
+    text = value.cast("string")
+    whole = F.regexp_replace(F.trim(text), r"^([+-]?\d+)\.\d*$", "$1")
+    # The pattern runs only for text that is no plain integer.
+    return F.coalesce(text.try_cast(to), whole.try_cast(to))
 
 
 def ratio(top: str | Column, bottom: str | Column, digits: int = 2) -> Column:

@@ -18,8 +18,22 @@ def union_batches(*batches: DataFrame) -> DataFrame:
 
 
 def rows_missing_in(left: DataFrame, right: DataFrame, *columns: str) -> DataFrame:
-    """Distinct values of ``columns`` in ``left`` that ``right`` lacks."""
-    return left.select(*columns).subtract(right.select(*columns))
+    """Distinct values of ``columns`` in ``left`` that ``right`` lacks; NULL equals NULL.
+
+    One aggregation over both sides: repeated values shrink before the shuffle.
+    """
+
+    def side(df: DataFrame, is_left: bool) -> DataFrame:
+        return df.select(*columns, F.lit(is_left).alias("_left"))
+
+    return (
+        side(left, True)
+        .unionByName(side(right, False))
+        .groupBy(*columns)
+        .agg(F.every("_left").alias("_only_left"))
+        .where("_only_left")
+        .drop("_only_left")
+    )
 
 
 def apply_corrections(
@@ -62,6 +76,8 @@ def restate_dates(
         .distinct()
         .withColumnRenamed("_date", "_touched")
     )
+    # At most one row per calendar date, whatever the number of events.
+    touched = F.broadcast(touched)
     unchanged = base.join(late_keys, on=key, how="left_anti")
     current = union_batches(dated(unchanged), dated(changed))
     fresh = summarize(on_touched(current, "_date", "left_semi").drop("_date"))

@@ -37,3 +37,8 @@ def top_facilities(facilities: DataFrame, k: int = 10) -> DataFrame:
             F.round("avg_detention_minutes", 2).alias("avg_detention_minutes"),
         )
     )
+
+
+def daily_report(daily: DataFrame) -> DataFrame:
+    """The daily mart in date order; sorted when read, as a stored table has no order."""
+    return daily.orderBy("event_date")

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,14 +110,3 @@ def conservation(raw: DataFrame, classified: DataFrame, table: str) -> DataFrame
         "superseded_rows",
         F.col("bronze_rows") - F.col("silver_rows") - F.col("quarantined_rows"),
     )
-
-
-def silver_counts(classified: Mapping[str, DataFrame]) -> DataFrame:
-    """(table_name, silver_row_count) of classified tables, without writing them."""
-    counted = [
-        df.agg(F.count_if(F.col(REASON).isNull()).alias("silver_row_count")).select(
-            F.lit(name).alias("table_name"), "silver_row_count"
-        )
-        for name, df in classified.items()
-    ]
-    return reduce(DataFrame.unionByName, counted)

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from lakemart.functions.columns import event_date, restate_cancelled
 from lakemart.operators import batches, crosswalk
-from lakemart.operators.quarantine import accepted, audit, rejected
+from lakemart.operators.quarantine import QUARANTINED_AT, accepted, rejected
 from lakemart.plans import marts, silver
 from lakemart.session import work_path
 from lakemart.sinks import tables
-from lakemart.sources.tables import read_path
+from lakemart.sinks.quarantine import defect_audit, read_quarantine
+from lakemart.sources.tables import read_path, read_silver
 from workload.marts import CUSTOMER, daily_sql
 from workload.oracle_roles import SILVER, with_roles
 from workload.roles import customers, loads, raw, scans, table, trips
@@ -49,12 +50,28 @@ def silver_loads(spark, sf_dir):
     return accepted(_classified(spark, sf_dir, *LOAD_TABLES)["loads"])
 
 
+def _published(spark, sf_dir, *names):
+    """A lake with the named tables after the Silver job, and its outcomes.
+
+    Tables with parents of their own go through the job: each table is computed and
+    written once, where one lazy plan would compute the parents again per child.
+    """
+    specs = {n: silver.SPECS[n] for n in (names or silver.SPECS)}
+    lake = work_path(spark, "silver")
+    outcomes = silver.run_silver(spark, lake, raw(spark, sf_dir, *specs), specs)
+    return lake, outcomes
+
+
+def _quarantined(spark, lake, name):
+    return read_quarantine(spark, f"{lake}/quarantine", [name])[name].drop(QUARANTINED_AT)
+
+
 def silver_trips(spark, sf_dir):
-    return accepted(_classified(spark, sf_dir, *TRIP_TABLES)["trips"])
+    return read_silver(spark, _published(spark, sf_dir, *TRIP_TABLES)[0], "trips")
 
 
 def silver_delivery_events(spark, sf_dir):
-    return accepted(_classified(spark, sf_dir)["delivery_events"])
+    return read_silver(spark, _published(spark, sf_dir)[0], "delivery_events")
 
 
 def quarantined_loads(spark, sf_dir):
@@ -62,34 +79,36 @@ def quarantined_loads(spark, sf_dir):
 
 
 def quarantined_trips(spark, sf_dir):
-    return rejected(_classified(spark, sf_dir, *TRIP_TABLES)["trips"])
+    return _quarantined(spark, _published(spark, sf_dir, *TRIP_TABLES)[0], "trips")
 
 
 def quarantined_delivery_events(spark, sf_dir):
-    return rejected(_classified(spark, sf_dir)["delivery_events"])
+    return _quarantined(spark, _published(spark, sf_dir)[0], "delivery_events")
 
 
 def silver_job(spark, sf_dir):
-    """The whole Silver job, written table by table; rows per table and outcome."""
-    lake = work_path(spark, "silver")
-    return silver.run_silver(spark, lake, raw(spark, sf_dir))
+    """Rows per table and outcome of the whole Silver job."""
+    return _published(spark, sf_dir)[1]
 
 
 def quarantine_audit(spark, sf_dir):
     """Rejected trips and loads by reason."""
-    classified = _classified(spark, sf_dir, *TRIP_TABLES)
-    return batches.union_batches(*[audit(classified[n], n) for n in ("loads", "trips")])
+    lake, _ = _published(spark, sf_dir, *TRIP_TABLES)
+    return defect_audit(read_quarantine(spark, f"{lake}/quarantine", ("loads", "trips")))
 
 
 def silver_counts(spark, sf_dir):
-    return silver.silver_counts(_classified(spark, sf_dir, *TRIP_TABLES))
+    specs = {n: silver.SPECS[n] for n in TRIP_TABLES}
+    report = silver.silver_report(_published(spark, sf_dir, *specs)[1], specs)
+    return report.drop("processed_at_utc")
 
 
 def conservation(spark, sf_dir):
-    """Every trip is in Silver, in quarantine or superseded."""
-    arrived = raw(spark, sf_dir, *TRIP_TABLES)
-    classified = silver.classify_all(arrived, {n: silver.SPECS[n] for n in TRIP_TABLES})
-    return silver.conservation(arrived["trips"], classified["trips"], "trips")
+    """Every load is in Silver, in quarantine or superseded; the batch arrives twice."""
+    arrived = raw(spark, sf_dir, *LOAD_TABLES)
+    arrived["loads"] = batches.union_batches(arrived["loads"], arrived["loads"])
+    classified = silver.classify_all(arrived, {n: silver.SPECS[n] for n in LOAD_TABLES})
+    return silver.conservation(arrived["loads"], classified["loads"], "loads")
 
 
 def _corrections(spark, sf_dir):
@@ -271,12 +290,15 @@ ORACLE["silver_counts"] = with_roles(
     )
 )
 ORACLE["conservation"] = with_roles(
-    """SELECT 'trips' AS table_name, (SELECT count(*) FROM lineitem) AS bronze_rows,
+    """SELECT 'loads' AS table_name, 2 * count(*) AS bronze_rows,
            count(*) FILTER (WHERE quarantine_reason IS NULL) AS silver_rows,
-           count(*) FILTER (WHERE quarantine_reason IS NOT NULL) AS quarantined_rows,
-           (SELECT count(*) FROM ruled_trips WHERE rule IS NULL)
-               - (SELECT count(*) FROM latest_trips) AS superseded_rows
-    FROM classified_trips"""
+           count(*) FILTER (WHERE quarantine_reason LIKE 'invalid_%_fk')
+               + 2 * count(*) FILTER (WHERE quarantine_reason = 'invalid_business_values')
+               AS quarantined_rows,
+           count(*) FILTER (WHERE quarantine_reason IS NULL
+                            OR quarantine_reason <> 'invalid_business_values')
+               AS superseded_rows
+    FROM classified_loads"""
 )
 _LATEST = (
     "QUALIFY row_number() OVER (PARTITION BY load_id ORDER BY updated_at DESC, customer_id DESC, "

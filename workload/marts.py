@@ -52,6 +52,10 @@ def top_facilities(spark, sf_dir):
     return serving.top_facilities(facility_performance(spark, sf_dir))
 
 
+def daily_report(spark, sf_dir):
+    return serving.daily_report(daily_operations(spark, sf_dir))
+
+
 DRIVER = f"""
     SELECT a.driver_id, concat_ws(' ', first_name, last_name) AS driver_name, employment_status,
            years_experience, total_trips, total_distance_miles,
@@ -172,6 +176,7 @@ QUERIES = {
     "daily_operations": daily_operations,
     "route_sla": route_sla,
     "top_facilities": top_facilities,
+    "daily_report": daily_report,
 }
 
 ORACLE = {
@@ -196,4 +201,5 @@ ORACLE = {
         FROM (SELECT * RENAME (avg_detention_minutes AS m) FROM ({FACILITY}))
         ORDER BY m DESC NULLS LAST, facility_id LIMIT 10"""
     ),
+    "daily_report": with_roles(f"{daily_sql('scans')} ORDER BY event_date"),
 }
