@@ -26,6 +26,11 @@ def children(spark: SparkSession, path: str) -> list[str]:
     )
 
 
+def name_of(path: str) -> str:
+    """Last component of a path."""
+    return path.rstrip("/").rsplit("/", 1)[-1]
+
+
 def delete(spark: SparkSession, path: str) -> None:
     fs, jvm = _open(spark, path)
     fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)

@@ -9,7 +9,15 @@ from pyspark.sql import functions as F
 
 from lakemart.functions.columns import named
 from lakemart.operators.quality import GateFailed, key_assertions
-from lakemart.sinks.paths import delete, exists, recover, staging_path, swap_in
+from lakemart.sinks.paths import (
+    children,
+    delete,
+    exists,
+    name_of,
+    recover,
+    staging_path,
+    swap_in,
+)
 from lakemart.sources.tables import read_path
 
 INGESTED_AT = "last_ingested_at"
@@ -76,6 +84,47 @@ def upsert(source: DataFrame, target: str, key: str) -> None:
     swap_in(source.sparkSession, stage_upsert(source, target, key), target)
 
 
+def upsert_partitions(source: DataFrame, target: str, key: str, by: str) -> list[str]:
+    """Upsert into a table partitioned by ``by``, rewriting only the partitions concerned.
+
+    These are the partitions the batch has rows for and those its keys sit in today, so a
+    row that changes its partition leaves the old one. Returns their folder names. Each
+    partition is swapped in by itself: run the upsert again if it was interrupted.
+    """
+    spark = source.sparkSession
+    batch = stage(source, target, [by])
+    try:
+        written = read_path(spark, batch, source.schema)
+        check_keys(written, key)
+        if not exists(spark, target):
+            swap_in(spark, stage(written, target, [by]), target)
+            return [name_of(p) for p in children(spark, target) if f"/{by}=" in p]
+        current = read_path(spark, target, source.schema)
+        folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
+        located = current.select("*", folder.alias("_folder"))
+        keys = written.select(named(key).alias("_key"))
+        hit = located.join(keys, named(key) == F.col("_key"), "left_semi")
+        here = written.select(folder.alias("_folder"))
+        # One row per partition folder of the table.
+        touched = hit.select("_folder").union(here).distinct().withColumnRenamed("_folder", "_hit")
+        same_folder = F.col("_folder") == F.col("_hit")
+        affected = located.join(F.broadcast(touched), same_folder, "left_semi").drop("_folder")
+        staged = stage(merged(affected, written, key), target, [by])
+        # In file paths the folder name is URL-encoded once more.
+        decoded = F.url_decode(F.replace("_hit", F.lit("+"), F.lit("%2B")))
+        names = [r[0] for r in touched.select(decoded).collect()]
+    finally:
+        delete(spark, batch)
+    full = {name_of(p) for p in children(spark, staged)}
+    for name in names:
+        if name in full:
+            swap_in(spark, f"{staged}/{name}", f"{target}/{name}")
+        else:
+            delete(spark, f"{target}/{name}")
+    delete(spark, staged)
+    return sorted(names)
+
+
 def overwrite_partitions(df: DataFrame, target: str, by: Sequence[str]) -> None:
     """Replace only the partitions that ``df`` has rows for."""
     (

@@ -138,6 +138,27 @@ def test_partition_overwrite(spark, frame, tmp_path, rows):
     assert rows(read_path(spark, target), "d", "v") == [(1, 1), (2, 9)]
 
 
+def test_upsert_by_partition(spark, frame, tmp_path, rows):
+    target, schema = str(tmp_path / "t"), "k int, v string, d string"
+    first = frame(schema, (1, "a", "x 1"), (2, "b", "x 1"), (3, "c", "y:+%"), (4, "d", "z"))
+    assert len(tables.upsert_partitions(first, target, "k", "d")) == 3
+    untouched = {p.name for p in (tmp_path / "t" / "d=x 1").iterdir()}
+    # 3 moves to z and empties its partition; 5 opens a new one.
+    batch = frame(schema, (3, "C", "z"), (5, "e", "w"))
+    for _ in range(2):
+        names = tables.upsert_partitions(batch, target, "k", "d")
+        assert rows(read_path(spark, target), "k", "v", "d") == [
+            (1, "a", "x 1"), (2, "b", "x 1"), (3, "C", "z"), (4, "d", "z"), (5, "e", "w")
+        ]
+    assert names == ["d=w", "d=z"]
+    assert {p.name for p in (tmp_path / "t" / "d=x 1").iterdir()} == untouched
+    assert sorted(p.name for p in (tmp_path / "t").iterdir() if p.is_dir()) == [
+        "d=w", "d=x 1", "d=z"
+    ]
+    with pytest.raises(GateFailed):
+        tables.upsert_partitions(batch.union(batch), target, "k", "d")
+
+
 def test_catalog_tables(spark, frame, rows):
     for v in (1, 2):
         tables.create_or_replace(frame("k int, v int", (1, v), (1, v - 1)), "lakemart_catalog_test")

@@ -206,6 +206,21 @@ def upsert_match(spark, sf_dir):
     return tables.matched_and_new(published, batch, "o_orderkey")
 
 
+def upsert_by_partition(spark, sf_dir):
+    """Orders by priority; pending ones move to a new priority and change price."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_totalprice", "o_orderstatus", "o_orderpriority"
+    )
+    pending = orders.where("o_orderstatus = 'P' AND o_orderpriority <> '5-LOW'").selectExpr(
+        "o_orderkey", "o_totalprice + 1 AS o_totalprice", "o_orderstatus",
+        "'0-NOW' AS o_orderpriority",
+    )
+    target = work_path(spark, "upsert_by_partition")
+    tables.upsert_partitions(orders, target, "o_orderkey", "o_orderpriority")
+    tables.upsert_partitions(pending, target, "o_orderkey", "o_orderpriority")
+    return read_path(spark, target)
+
+
 def partition_overwrite(spark, sf_dir):
     """Orders by status; only the partition of the second batch is replaced."""
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_totalprice", "o_orderstatus")
@@ -255,6 +270,7 @@ QUERIES = {
         set_difference,
         upsert,
         upsert_match,
+        upsert_by_partition,
         partition_overwrite,
         key_crosswalk,
         mapped_keys,
@@ -353,6 +369,12 @@ ORACLE["upsert_match"] = f"""
     SELECT count(*) FILTER (WHERE o_orderstatus = 'F') AS matched_rows,
            count(*) FILTER (WHERE o_orderstatus <> 'F') AS new_rows
     FROM orders WHERE {_BATCH}"""
+_MOVES = "o_orderstatus = 'P' AND o_orderpriority <> '5-LOW'"
+ORACLE["upsert_by_partition"] = f"""
+    SELECT o_orderkey, o_orderstatus,
+           CASE WHEN {_MOVES} THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+           CASE WHEN {_MOVES} THEN '0-NOW' ELSE o_orderpriority END AS o_orderpriority
+    FROM orders"""
 ORACLE["partition_overwrite"] = """
     SELECT o_orderkey, o_orderstatus,
            CASE WHEN o_orderstatus = 'P' THEN o_totalprice * 2 ELSE o_totalprice END
