@@ -171,10 +171,12 @@ def presence_gate(tables: Mapping[str, DataFrame | None], required: Iterable[str
         raise GateFailed(f"missing or empty: {bad}")
 
 
-def require_pass(report: DataFrame, what: str, status: str = "status") -> list:
-    """Rows of a report, or GateFailed when one of them says FAIL."""
+def require_pass(
+    report: DataFrame, what: str, status: str = "status", bad: tuple[str, ...] = ("FAIL",)
+) -> list:
+    """Rows of a report, or GateFailed when the status of one of them is in ``bad``."""
     rows = report.collect()
-    bad = [r.asDict() for r in rows if r[status] == "FAIL"]
-    if bad:
-        raise GateFailed(f"{what}: {bad}")
+    failed = [r.asDict() for r in rows if r[status] in bad]
+    if failed:
+        raise GateFailed(f"{what}: {failed}")
     return rows

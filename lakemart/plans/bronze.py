@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from lakemart.plans.concurrent import each
 from lakemart.plans.logistics import SPECS
 from lakemart.sinks.landing import SUMMARY_SCHEMA, land, manifest, manifest_row, write_manifest
-from lakemart.sources.raw import check_tables, list_files
+from lakemart.sources.raw import check_tables, list_deliveries
 
 log = logging.getLogger(__name__)
 
@@ -18,28 +18,27 @@ log = logging.getLogger(__name__)
 def run_bronze(
     spark: SparkSession, source: str, lake: str, expected: Iterable[str] = tuple(SPECS)
 ) -> DataFrame:
-    """Land all CSV files of a folder; returns the run summary.
+    """Land every table delivered in a folder; returns the run summary.
 
-    A missing expected table stops the run before anything lands. A file that
+    A missing expected table stops the run before anything lands. A table that
     fails later is reported as FAILED and does not stop the others.
     """
-    files = list_files(spark, source)
-    check_tables(files, expected)
+    deliveries = list_deliveries(spark, source)
+    check_tables(deliveries, expected)
 
-    def ingest(file) -> tuple[tuple | None, tuple]:
-        target = f"{lake}/bronze/{file.table_name}/{file.file_name}"
+    def ingest(found) -> tuple[tuple | None, tuple]:
+        table = found.table_name
+        target = f"{lake}/bronze/{table}/{found.source_file}"
         try:
-            rows = land(spark, file.path, target)
-            row = manifest_row(
-                spark, file.table_name, file.file_name, file.size_bytes, target, rows
-            )
-            return row, (file.table_name, "SUCCESS", rows, row[5], None)
-        except Exception as error:  # one bad file must not stop the rest
-            log.error("%s: %s", file.table_name, error)
-            return None, (file.table_name, "FAILED", None, None, str(error))
-
-    # One row per delivered file: control data, not the batch itself.
-    landed = each(spark, ingest, files.orderBy("table_name", "file_name").collect())
+            rows = land(spark, found.path, target)
+            row = manifest_row(spark, table, found.source_file, found.size_bytes, target, rows)
+            return row, (table, "SUCCESS", rows, row[5], None)
+        except Exception as error:  # one bad table must not stop the rest
+            log.error("%s: %s", table, error)
+            return None, (table, "FAILED", None, None, str(error))
+
+    # One row per delivered table: control data, not the batch itself.
+    landed = each(spark, ingest, deliveries.orderBy("table_name", "source_file").collect())
     described = [row for row, _ in landed if row is not None]
     if described:
         write_manifest(manifest(spark, described), f"{lake}/metadata/bronze_manifest")

@@ -32,15 +32,23 @@ _WHOLE_LINES = {
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Data lines of a text file as they are; the column is named by the header line."""
-    return spark.read.options(**_WHOLE_LINES).csv(path)
+    """Data lines of CSV files as they are; the column is named by the header line.
+
+    Files of one delivery must share their header; a different one fails the read.
+    """
+    return (
+        spark.read.options(**_WHOLE_LINES)
+        .option("enforceSchema", False)
+        .option("recursiveFileLookup", True)
+        .csv(path)
+    )
 
 
 def land(spark: SparkSession, source: str, target: str) -> int:
-    """Copy a raw CSV file, line by line and unparsed, into the folder ``target``.
+    """Copy a raw CSV file or folder, line by line and unparsed, into the folder ``target``.
 
-    Returns the number of data lines, counted while they are written. A file with one of
-    the two control characters is refused. Landing a file again replaces its folder.
+    Returns the number of data lines, counted while they are written. Input with one of
+    the two control characters is refused. Landing it again replaces its folder.
     """
     lines = read_lines(spark, source)
     if len(lines.columns) != 1:
@@ -68,7 +76,7 @@ def land(spark: SparkSession, source: str, target: str) -> int:
 def manifest_row(
     spark: SparkSession, table: str, source_name: str, size: int, bronze: str, rows: int
 ) -> tuple:
-    """Description of one landed file."""
+    """Description of one landed delivery."""
     columns = raw_csv(spark, bronze).columns
     return table, source_name, bronze, size, rows, len(columns), columns
 

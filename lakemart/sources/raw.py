@@ -68,21 +68,33 @@ def table_name(path: str | Column) -> Column:
     return F.regexp_replace(F.trim(F.lower(stem)), r"(?U)\W+", "_")
 
 
-def list_files(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
-    """(table_name, path, file_name, size_bytes) of the files below a folder.
+def list_deliveries(spark: SparkSession, folder: str, pattern: str = "*.csv") -> DataFrame:
+    """(table_name, path, source_file, size_bytes): one row per delivered table.
 
-    The contents are not read: the listing source skips them unless asked.
+    A delivery is a file ``<table>.csv`` or, for large tables, a folder ``<table>`` of
+    such files. The contents are not read: the listing source skips them unless asked.
     """
+    folder = folder.rstrip("/")
     try:
-        found = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(folder)
+        found = (
+            spark.read.format("binaryFile")
+            .option("pathGlobFilter", pattern)
+            .option("recursiveFileLookup", True)
+            .load(folder)
+        )
     except AnalysisException as error:
         raise _not_found(error, folder) from error
     # Zero-byte files are not listed: a table that consists of one counts as missing.
-    return found.select(
-        table_name("path").alias("table_name"),
-        "path",
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
-        F.col("length").alias("size_bytes"),
+    below = F.element_at(F.split("path", rf"\Q{folder}/\E", 2), 2)
+    return (
+        found.groupBy(F.split_part(below, F.lit("/"), F.lit(1)).alias("source_file"))
+        .agg(F.sum("length").alias("size_bytes"))
+        .select(
+            table_name("source_file").alias("table_name"),
+            F.concat(F.lit(f"{folder}/"), "source_file").alias("path"),
+            "source_file",
+            "size_bytes",
+        )
     )
 
 
@@ -99,11 +111,11 @@ def table_presence(found: DataFrame, expected: DataFrame) -> DataFrame:
     )
 
 
-def check_tables(files: DataFrame, expected: Iterable[str]) -> list[str]:
+def check_tables(deliveries: DataFrame, expected: Iterable[str]) -> list[str]:
     """Names of the tables found. Missing ones raise, unexpected ones are logged."""
-    spark = files.sparkSession
+    spark = deliveries.sparkSession
     wanted = spark.createDataFrame([(t,) for t in expected], "table_name string")
-    rows = table_presence(files, wanted).orderBy("table_name").collect()
+    rows = table_presence(deliveries, wanted).orderBy("table_name").collect()
     by_presence = {
         p: [r.table_name for r in rows if r.presence == p]
         for p in ("present", "missing", "unexpected")

@@ -60,6 +60,19 @@ def test_landing_refuses_control_characters(spark, tmp_path, bad):
     assert [p.name for p in tmp_path.iterdir()] == ["in.csv"]
 
 
+def test_landing_a_folder(spark, tmp_path):
+    source, target = tmp_path / "in", tmp_path / "out"
+    source.mkdir()
+    (source / "a.csv").write_text("a,b\n1,2\n")
+    (source / "b.csv").write_text("a,b\n3,4\n")
+    assert land(spark, str(source), str(target)) == 2
+    assert raw.raw_csv(spark, str(target)).count() == 2
+    (source / "b.csv").write_text("b,a\n3,4\n")
+    with pytest.raises(Exception, match="header does not conform"):
+        land(spark, str(source), str(target))
+    assert raw.raw_csv(spark, str(target)).count() == 2
+
+
 def test_files_with_other_headers_are_not_read_by_position(spark, tmp_path):
     (tmp_path / "a.csv").write_text("a,b\n1,2\n")
     (tmp_path / "b.csv").write_text("b,a\n1,2\n")
@@ -84,11 +97,14 @@ def test_list_and_check_tables(spark, tmp_path):
     (tmp_path / "Loads.csv").write_text("a\n1\n")
     (tmp_path / "extra.csv").write_text("a\n1\n")
     (tmp_path / "notes.txt").write_text("no table")
-    files = raw.list_files(spark, str(tmp_path))
-    assert {(r.table_name, r.file_name, r.size_bytes) for r in files.collect()} == {
-        ("loads", "Loads.csv", 4), ("extra", "extra.csv", 4)
+    (tmp_path / "Big Table").mkdir()
+    for part in "ab":
+        (tmp_path / "Big Table" / f"{part}.csv").write_text("a\n1\n2\n")
+    files = raw.list_deliveries(spark, str(tmp_path) + "/")
+    assert {(r.table_name, r.source_file, r.size_bytes) for r in files.collect()} == {
+        ("loads", "Loads.csv", 4), ("extra", "extra.csv", 4), ("big_table", "Big Table", 12)
     }
-    assert raw.check_tables(files, ["loads"]) == ["extra", "loads"]
+    assert raw.check_tables(files, ["loads"]) == ["big_table", "extra", "loads"]
     with pytest.raises(ValueError, match="trips"):
         raw.check_tables(files, ["loads", "trips"])
     with pytest.raises(FileNotFoundError):

@@ -7,6 +7,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from lakemart.operators import dedup, integrity, joins, rules
+from lakemart.operators.quality import GateFailed, require_pass
 from lakemart.plans import logistics
 
 SCHEMA = "k string, b double, a int, c string"
@@ -126,6 +127,9 @@ def test_fk_reason_takes_the_first_edge(frame, rows):
 def test_orphan_profile(family, frame, rows):
     child, parent = family
     assert rows(integrity.orphan_profile(child, "p", parent, "pk", "r")) == [("r", 1, 3, "WARNING")]
+    with pytest.raises(GateFailed):
+        found = integrity.orphan_profile(child, "p", parent, "pk", "r")
+        require_pass(found, "foreign keys", bad=("WARNING", "FAIL"))
     assert rows(integrity.orphan_profile(child.limit(0), "p", parent, "pk", "r")) == [
         ("r", 0, 0, "PASS")
     ]

@@ -8,6 +8,7 @@ from lakemart.functions.columns import safe_cast
 from lakemart.plans.bronze import run_bronze
 from lakemart.plans.logistics import REQUIRED_LOAD_COLUMNS
 from lakemart.session import work_path
+from lakemart.sinks.landing import land
 from lakemart.sinks.reports import write_report
 from lakemart.sources import raw as source
 from workload.roles import loads, table, trips
@@ -55,7 +56,7 @@ def intake_status(spark, sf_dir):
 
 
 def _delivery(spark, sf_dir):
-    """A folder with one file per table name and part, as an upstream would drop it."""
+    """A folder with one subfolder of CSV files per table, as an upstream would drop it."""
     folder = work_path(spark, "delivery")
     for name in SOURCES:
         table(spark, sf_dir, name).write.option("header", True).csv(f"{folder}/{name}")
@@ -83,26 +84,23 @@ def table_presence(spark, sf_dir):
 
 def bronze_landing(spark, sf_dir):
     """Orders landed in Bronze and read back; nothing is lost or changed."""
-    from lakemart.sinks.landing import land
-
     delivered = _csv(spark, table(spark, sf_dir, "orders"), "orders_csv")
     landed = work_path(spark, "bronze")
     land(spark, delivered, landed)
     return source.raw_csv(spark, landed).select("o_orderkey", "o_orderstatus", "o_orderpriority")
 
 
+def bronze_job(spark, sf_dir):
+    """Three delivered tables checked and landed; the run summary."""
+    lake = work_path(spark, "lake")
+    return run_bronze(spark, _delivery(spark, sf_dir), lake, SOURCES).drop("error")
+
+
 def bronze_manifest(spark, sf_dir):
     """Rows and columns of landed tables as the manifest states them."""
-    from lakemart.sinks.landing import land, manifest, manifest_row, write_manifest
-
-    delivered, lake, rows = _delivery(spark, sf_dir), work_path(spark, "lake"), []
-    for name in SOURCES:
-        target = f"{lake}/bronze/{name}"
-        lines = land(spark, f"{delivered}/{name}", target)
-        rows.append(manifest_row(spark, name, f"{name}.csv", 0, target, lines))
-    path = f"{lake}/metadata/bronze_manifest"
-    write_manifest(manifest(spark, rows), path)
-    return spark.read.json(path).select(
+    lake = work_path(spark, "lake")
+    run_bronze(spark, _delivery(spark, sf_dir), lake, SOURCES)
+    return spark.read.json(f"{lake}/metadata/bronze_manifest").select(
         "table_name", "source_file", "row_count", "column_count", "layer",
         "data_preserved_as_source", F.array_join("columns", ",").alias("column_names"),
     )
@@ -127,6 +125,7 @@ QUERIES = {
         table_names,
         table_presence,
         bronze_landing,
+        bronze_job,
         bronze_manifest,
         report_sink,
     )
@@ -168,12 +167,17 @@ ORACLE = {
         FROM orders""",
     "bronze_manifest": " UNION ALL ".join(
         f"""
-        SELECT '{n}' AS table_name, '{n}.csv' AS source_file, count(*) AS row_count,
+        SELECT '{n}' AS table_name, '{n}' AS source_file, count(*) AS row_count,
                {len(columns.split(","))} AS column_count, 'bronze' AS layer,
                true AS data_preserved_as_source, '{columns}' AS column_names
         FROM {n}"""
         for n, columns in _COLUMNS.items()
     ),
+    "bronze_job": " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, 'SUCCESS' AS status, count(*) AS row_count, "
+        f"{len(columns.split(','))} AS column_count FROM {n}"
+        for n, columns in _COLUMNS.items()
+    ),
     "report_sink": """
         SELECT l_linestatus AS table_name, count(*) AS row_count FROM lineitem GROUP BY 1""",
 }
