@@ -19,7 +19,13 @@ from lakemart.plans.logistics import SPECS
 from lakemart.plans.marts import MARTS, Mart
 from lakemart.sinks.paths import delete, swap_in
 from lakemart.sinks.reports import write_report
-from lakemart.sinks.tables import stage, stage_upsert, stamped
+from lakemart.sinks.tables import (
+    create_or_replace,
+    stage,
+    stage_upsert,
+    stamped,
+    upsert_table,
+)
 from lakemart.sources.tables import read_gold, read_path, read_silver
 
 LOAD_MART = "gold_load_performance"
@@ -49,7 +55,9 @@ def run_gold(spark: SparkSession, lake: str, mode: str = "replace") -> DataFrame
 
     ``mode="replace"`` refreshes every mart. ``mode="upsert"`` updates by key and
     leaves keys that vanished from Silver, so it reconciles the batch only.
-    All marts are staged and checked first: a failed check publishes nothing.
+    All marts are staged and checked first: a failed check publishes nothing. They are
+    then swapped in one by one, which on object stores copies them; use
+    :func:`publish_catalog` there.
     """
     if mode not in ("replace", "upsert"):
         raise ValueError(f"mode must be replace or upsert, not {mode}")
@@ -90,6 +98,24 @@ def run_gold(spark: SparkSession, lake: str, mode: str = "replace") -> DataFrame
     return report
 
 
+def publish_catalog(
+    marts: Mapping[str, DataFrame], database: str, mode: str = "upsert"
+) -> None:
+    """Publish marts as catalog tables: row-level MERGE by key, or create-or-replace.
+
+    MERGE needs a catalog whose table format supports it.
+    """
+
+    def write(item: tuple[str, DataFrame]) -> None:
+        name, df = item
+        if mode == "upsert":
+            upsert_table(stamped(df), f"{database}.{name}", MARTS[name].key)
+        else:
+            create_or_replace(stamped(df), f"{database}.{name}")
+
+    each(next(iter(marts.values())).sparkSession, write, marts.items())
+
+
 def validate_gold(spark: SparkSession, lake: str) -> DataFrame:
     """Write the quality report of the published marts; raise if one of them fails."""
     marts = {n: (read_gold(spark, lake, n), m.key) for n, m in MARTS.items()}

@@ -31,7 +31,11 @@ def stamped(df: DataFrame) -> DataFrame:
 def stage(df: DataFrame, target: str, partition_by: Sequence[str] = ()) -> str:
     """Write ``df`` next to ``target``; returns the staged path."""
     staged = staging_path(target)
-    df.write.mode("errorifexists").partitionBy(*partition_by).parquet(staged)
+    try:
+        df.write.mode("errorifexists").partitionBy(*partition_by).parquet(staged)
+    except Exception:
+        delete(df.sparkSession, staged)
+        raise
     return staged
 
 

@@ -11,14 +11,14 @@ from lakemart.operators.quality import GateFailed
 from lakemart.operators.quarantine import accepted, audit, classify, rejected
 from lakemart.plans import silver
 from lakemart.plans.bronze import run_bronze
-from lakemart.plans.gold import run_gold, validate_gold
+from lakemart.plans.gold import build_marts, publish_catalog, run_gold, validate_gold
 from lakemart.plans.logistics import LOADS, SPECS, TRIPS
 from lakemart.plans.marts import MARTS
 from lakemart.plans.run import run
 from lakemart.plans.spec import TableSpec, conform
 from lakemart.sinks.quarantine import defect_audit, read_quarantine, write_quarantine
 from lakemart.sources.raw import raw_csv, read_bronze
-from lakemart.sources.tables import read_gold, read_path, read_silver
+from lakemart.sources.tables import read_catalog, read_gold, read_path, read_silver
 
 CSV = {
     "customers": """customer_id,customer_name,customer_type,account_status,contract_start_date,annual_revenue_potential
@@ -166,6 +166,21 @@ def test_gold(spark, lake, rows):
         assert "last_ingested_at" in read_gold(spark, path, name).columns
 
 
+def test_marts_in_the_catalog(spark, lake, rows):
+    path, *_ = lake
+    spark.sql("CREATE DATABASE lakemart_test")
+    try:
+        silver_tables = {n: read_silver(spark, path, n) for n in SPECS}
+        built = {"gold_daily_operations": build_marts(silver_tables)["gold_daily_operations"]}
+        # The first upsert creates the table, a replace renews it.
+        for mode in ("upsert", "replace"):
+            publish_catalog(built, "lakemart_test", mode)
+            found = read_catalog(spark, "lakemart_test.gold_daily_operations")
+            assert rows(found.drop("last_ingested_at")) == rows(built["gold_daily_operations"])
+    finally:
+        spark.sql("DROP DATABASE lakemart_test CASCADE")
+
+
 def test_rerun_publishes_the_same(spark, lake, rows):
     path, *_ = lake
     before = {n: rows(read_gold(spark, path, n).drop("last_ingested_at")) for n in MARTS}
