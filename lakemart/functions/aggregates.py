@@ -41,7 +41,9 @@ def _fractional(df: DataFrame, column: str) -> bool:
 
 def total(df: DataFrame, column: str) -> Column:
     """Sum of ``column``, order-independent whatever its type."""
-    return exact_sum(named(column).cast("double")) if _fractional(df, column) else F.sum(named(column))
+    if _fractional(df, column):
+        return exact_sum(named(column).cast("double"))
+    return F.sum(named(column))
 
 
 def mean(df: DataFrame, column: str) -> Column:

@@ -23,9 +23,12 @@ def safe_cast(spark, sf_dir):
         "l_orderkey",
         "l_linenumber",
         "CAST(l_quantity AS STRING) AS whole_text",
-        "CASE WHEN l_linestatus = 'F' THEN CAST(l_extendedprice AS STRING) ELSE 'n/a' END AS real_text",
-        "CASE WHEN l_returnflag = 'N' THEN 'yesterday' ELSE CAST(l_shipdate AS STRING) END AS time_text",
-        "CASE l_returnflag WHEN 'N' THEN 'true' WHEN 'R' THEN 'false' ELSE 'maybe' END AS flag_text",
+        "CASE WHEN l_linestatus = 'F' THEN CAST(l_extendedprice AS STRING) ELSE 'n/a' END "
+        "AS real_text",
+        "CASE WHEN l_returnflag = 'N' THEN 'yesterday' ELSE CAST(l_shipdate AS STRING) END "
+        "AS time_text",
+        "CASE l_returnflag WHEN 'N' THEN 'true' WHEN 'R' THEN 'false' ELSE 'maybe' END "
+        "AS flag_text",
     )
     return text.select(
         "l_orderkey",
