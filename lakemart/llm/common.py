@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import io
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -30,3 +34,30 @@ def tag(column: Column | str) -> Column:
     """A nullable string as a non-null group key; null differs from every string."""
     column = F.col(column) if isinstance(column, str) else column
     return F.coalesce(F.concat(F.lit("="), column), F.lit(""))
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this library's source to the executors, once per application, by the shared folder."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    data = io.BytesIO()
+    with zipfile.ZipFile(data, "w") as archive:
+        for file in [package / "__init__.py", package / "session.py", *sorted(Path(__file__).parent.glob("*.py"))]:
+            archive.write(file, file.relative_to(package.parent))
+    path = context._jvm.org.apache.hadoop.fs.Path(work_path(spark, "source") + ".zip")
+    stream = path.getFileSystem(context._jsc.hadoopConfiguration()).create(path)
+    stream.write(bytearray(data.getvalue()))
+    stream.close()
+    context.addPyFile(path.toString())
+    _SHIPPED.add(context.applicationId)
+
+
+def udf(function, returns: str):
+    """A pandas UDF whose code the executors have."""
+    ship(SparkSession.active())
+    return F.pandas_udf(function, returns)

@@ -5,12 +5,75 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakemart.llm import mixing, pii, sharding
-from lakemart.llm.common import table
+import public_tokenizers
+
+from lakemart.llm import bpe, mixing, pii, quality, secret_scan, sharding, toxicity
+from lakemart.llm.common import table, written
 
 WORD = r"[^\x20\x09-\x0D]+"  # fixed value: what the contracts call a word
 
 
+def op1_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document scored by the field; labels of a third of the ids are held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.coalesce(
+        F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False)
+    )
+    model = toxicity.train(docs, table(spark, sf_dir, "labels"), ~held_out)
+    return toxicity.score(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "toxicity.score",
+        (F.col("toxicity.score") >= 0.7).cast("int").alias("predicted"),
+        F.array_join(
+            F.transform("toxicity.spans", lambda s: F.concat_ws(":", s["start"], s["end"])), ","
+        ).alias("spans"),
+    )
+
+
+def op2_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document encoded and decoded by the public byte-level vocabulary."""
+    coded = bpe.round_trip(
+        spark,
+        public_tokenizers.path("byte_bpe_50k.tiktoken"),
+        public_tokenizers.PATTERN,
+        "text",
+    )
+    return table(spark, sf_dir, "documents").select("doc_id", coded.alias("c")).select("doc_id", "c.*")
+
+
+def op3_layered_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets in every whole document and in what is encoded in it."""
+    found = table(spark, sf_dir, "documents").select("doc_id", secret_scan.spans("text").alias("s"))
+
+    def count(kind):
+        return F.size(F.filter("s", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
+
+    return found.select(
+        "doc_id",
+        *[count(k).alias(f"n_{k}") for k in secret_scan.KINDS],
+        F.sha2(secret_scan.digest(F.filter("s", lambda s: s["base"])), 256).alias("base_sha256"),
+        secret_scan.digest(F.col("s")).alias("spans"),
+    )
+
+
+def op9_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rule statistics of every document and the forest's verdict."""
+    stats = table(spark, sf_dir, "documents").select(
+        "doc_id", quality.statistics("text").alias("s")
+    )
+    stats = written(stats, "statistics")
+    forest = quality.calibrate(stats, table(spark, sf_dir, "labels"))
+    score, kept = quality.judge(F.col("s"), forest)
+    return stats.select(
+        "doc_id",
+        *[f"s.{c}" for c in quality.STATS],
+        quality.base_failed(F.col("s")).alias("base_failed"),
+        score.alias("anomaly"),
+        kept.alias("kept"),
+    )
+
+
 def op6_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to 150 % of all words; words taken from each."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
@@ -63,8 +126,12 @@ def op10_checked_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_crf_toxicity": op1_crf_toxicity,
+    "op2_tree_bpe": op2_tree_bpe,
+    "op3_layered_secrets": op3_layered_secrets,
     "op6_pivotal_mixing": op6_pivotal_mixing,
     "op7_stratified_sharding": op7_stratified_sharding,
+    "op9_quality_forest": op9_quality_forest,
     "op10_checked_pii": op10_checked_pii,
 }
 ORACLE: dict[str, str] = {}
