@@ -61,3 +61,13 @@ def udf(function, returns: str):
     """A pandas UDF whose code the executors have."""
     ship(SparkSession.active())
     return F.pandas_udf(function, returns)
+
+
+SMALL_ROWS = 1_000_000  # of a few numbers each; what a broadcast may hold
+
+
+def small_join(df: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Joins a written table: broadcast if its counted rows are few, else a plain join."""
+    if small.count() <= SMALL_ROWS:
+        small = F.broadcast(small)
+    return df.join(small, keys, how)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lakemart.llm import bpe, mixing, pii, quality, secret_scan, sharding, toxicity
+from lakemart.llm import bpe, jaccard, mixing, pii, quality, secret_scan, sharding, toxicity
 from lakemart.llm.common import table, written
 
 WORD = r"[^\x20\x09-\x0D]+"  # fixed value: what the contracts call a word
@@ -57,6 +57,11 @@ def op3_layered_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_signature_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of documents whose sets of three-word shingles agree to 90 %."""
+    return jaccard.join(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rule statistics of every document and the forest's verdict."""
     stats = table(spark, sf_dir, "documents").select(
@@ -131,6 +136,7 @@ QUERIES = {
     "op3_layered_secrets": op3_layered_secrets,
     "op6_pivotal_mixing": op6_pivotal_mixing,
     "op7_stratified_sharding": op7_stratified_sharding,
+    "op8_signature_join": op8_signature_join,
     "op9_quality_forest": op9_quality_forest,
     "op10_checked_pii": op10_checked_pii,
 }
