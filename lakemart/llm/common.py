@@ -63,11 +63,15 @@ def udf(function, returns: str):
     return F.pandas_udf(function, returns)
 
 
-SMALL_ROWS = 1_000_000  # of a few numbers each; what a broadcast may hold
+SMALL = 1_000_000  # numbers that a broadcast may hold, about 40 MB
 
 
-def small_join(df: DataFrame, small: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
-    """Joins a written table: broadcast if its counted rows are few, else a plain join."""
-    if small.count() <= SMALL_ROWS:
-        small = F.broadcast(small)
-    return df.join(small, keys, how)
+def small_join(
+    df: DataFrame, small: DataFrame, keys: list[str], how: str = "inner", weight: Column | None = None
+) -> DataFrame:
+    """Joins a written table: broadcast if what it holds is little, else a plain join.
+
+    ``weight`` is the numbers in a row (default: 1); their sum over the table is checked.
+    """
+    held = small.agg(F.sum(F.lit(1) if weight is None else weight)).first()[0] or 0
+    return df.join(F.broadcast(small) if held <= SMALL else small, keys, how)

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import tag, unit, written
+from lakemart.llm.common import small_join, tag, unit, written
 
 FAN = 64  # mean rows folded in a node of the tree
 WEIGHTS = (3, 1, 2)  # by the order of sources, repeating
@@ -138,7 +138,7 @@ def decide(
     wanted = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     odds = F.when(F.col("size") > 0, F.col("_q_want") - F.floor("_q_want")).otherwise(0.0)
     rows = (
-        narrow.join(sizes.drop("source"), "_q_s")
+        small_join(narrow, sizes.drop("source"), ["_q_s"])
         .withColumn("_q_want", wanted)
         .withColumn("h", F.xxhash64(F.lit(seed), *[F.col(c) for c in given], "_q_k"))
         .select(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lakemart.llm import bpe, jaccard, mixing, pii, quality, secret_scan, sharding, toxicity
+from lakemart.llm import bpe, jaccard, mixing, pii, quality, secret_scan, sharding, suffix, toxicity
 from lakemart.llm.common import table, written
 
 WORD = r"[^\x20\x09-\x0D]+"  # fixed value: what the contracts call a word
@@ -79,6 +79,11 @@ def op9_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 400-byte strings that start anywhere else, too."""
+    return suffix.remove(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op6_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to 150 % of all words; words taken from each."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
@@ -134,6 +139,7 @@ QUERIES = {
     "op1_crf_toxicity": op1_crf_toxicity,
     "op2_tree_bpe": op2_tree_bpe,
     "op3_layered_secrets": op3_layered_secrets,
+    "op4_radix_dedup": op4_radix_dedup,
     "op6_pivotal_mixing": op6_pivotal_mixing,
     "op7_stratified_sharding": op7_stratified_sharding,
     "op8_signature_join": op8_signature_join,

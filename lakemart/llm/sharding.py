@@ -17,7 +17,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import tag, unit, written
+from lakemart.llm.common import small_join, tag, unit, written
 
 CELL_ROWS = 2048  # mean rows of a cell, whatever the table's size
 
@@ -60,10 +60,10 @@ def interleave(
         "rows",
     )
     sizes = hashed.groupBy("_q_s").agg(F.count("*").alias("_q_n"))
+    sizes = written(sizes.withColumn("_q_cells", F.ceil(F.col("_q_n") / cell_rows)), "strata")
     total = sizes.agg(F.sum("_q_n")).first()[0] or 0
     cells = max(1, math.ceil(total / cell_rows))
-    sizes = sizes.withColumn("_q_cells", F.ceil(F.col("_q_n") / cell_rows))
-    placed = hashed.join(sizes, "_q_s").withColumn(
+    placed = small_join(hashed, sizes, ["_q_s"]).withColumn(
         "_q_c", F.floor(unit(F.lit(seed), "_q_h") * F.col("_q_cells"))
     )
     ranked = _ranked(placed, ["_q_c"], ["_q_h", *given], ["_q_s"], "_q_r")
