@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lakemart.llm import bpe, jaccard, mixing, pii, quality, secret_scan, sharding, suffix, toxicity
+from lakemart.llm import ann, bpe, jaccard, mixing, pii, quality, secret_scan, sharding, suffix, toxicity
 from lakemart.llm.common import table, written
 
 WORD = r"[^\x20\x09-\x0D]+"  # fixed value: what the contracts call a word
@@ -84,6 +84,11 @@ def op4_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix.remove(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op5_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest rows of every row of embeddings whose id 20 divides."""
+    return ann.search(table(spark, sf_dir, "embeddings"), every=20)
+
+
 def op6_pivotal_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents mixed to 150 % of all words; words taken from each."""
     size = F.coalesce(F.regexp_count("text", F.lit(WORD)), F.lit(0)).cast("long")
@@ -140,6 +145,7 @@ QUERIES = {
     "op2_tree_bpe": op2_tree_bpe,
     "op3_layered_secrets": op3_layered_secrets,
     "op4_radix_dedup": op4_radix_dedup,
+    "op5_prefix_forest": op5_prefix_forest,
     "op6_pivotal_mixing": op6_pivotal_mixing,
     "op7_stratified_sharding": op7_stratified_sharding,
     "op8_signature_join": op8_signature_join,
