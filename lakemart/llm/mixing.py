@@ -188,23 +188,22 @@ def mix(docs: DataFrame, size: Column, source: str = "source", **options) -> Dat
     so nulls, repeated rows and repeated ids are all served. Texts are shuffled once, to meet
     their decision. Columns beginning with ``_q_`` are reserved.
     """
-    order = Window.partitionBy("_q_hash").orderBy("_q_source", "_q_size")
-    marked = (
-        docs.withColumn("_q_hash", F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]))
-        .withColumn("_q_source", F.col(source).cast("string"))
-        .withColumn("_q_size", size)
-        .withColumn("_q_no", F.row_number().over(order))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    row, origin = F.xxhash64(*names).alias("_q_hash"), F.col(source).cast("string")
+    number = Window.partitionBy("_q_hash").orderBy("_q_source", "_q_size")
+    keys = docs.select(row, origin.alias("source"), size.alias("size"))
+    order = Window.partitionBy("_q_hash").orderBy("source", "size")
+    decided = decide(keys.withColumn("_q_no", F.row_number().over(order)), **options)
+    # One row per hash, so that the join needs the partitioning of the window only.
+    copies = decided.groupBy("_q_hash").agg(
+        F.map_from_entries(F.collect_list(F.struct("_q_no", "copies"))).alias("_q_copies")
     )
-    keys = docs.select(
-        F.col(source).cast("string").alias("source"),
-        size.alias("size"),
-        F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]).alias("_q_hash"),
-    )
-    number = Window.partitionBy("_q_hash").orderBy("source", "size")
-    decided = decide(keys.withColumn("_q_no", F.row_number().over(number)), **options)
-    copies = decided.where("copies > 0").select("_q_hash", "_q_no", "copies")
+    marked = docs.select(*names, row, origin.alias("_q_source"), size.alias("_q_size"))
     return (
-        marked.join(copies, ["_q_hash", "_q_no"])
-        .withColumn("_q_copy", F.explode(F.expr("sequence(1L, copies)")))
-        .select(*[F.col(f"`{c}`") for c in docs.columns])
+        marked.withColumn("_q_no", F.row_number().over(number))
+        .join(copies, "_q_hash")
+        .withColumn("_q_times", F.element_at("_q_copies", F.col("_q_no")))
+        .where("_q_times > 0")
+        .withColumn("_q_time", F.explode(F.expr("sequence(1L, _q_times)")))
+        .select(*names)
     )

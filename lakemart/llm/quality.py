@@ -16,7 +16,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import udf
+from lakemart.llm.common import udf, written
 
 BLANKS = " \t\n\r\x0b\x0c"  # fixed values: what separates words
 SYMBOLS = "#*$%&|<>"  # fixed values: what counts as a symbol
@@ -213,3 +213,19 @@ def judge(stats: Column, forest: Forest) -> tuple[Column, Column]:
     """(anomaly score, whether a document is kept) of a struct of statistics."""
     score = scorer(forest)(stats)
     return score, ~base_failed(stats) & (score < forest.threshold)
+
+
+def keep(docs: DataFrame, labels: DataFrame, text: str = "text", id_: str = "doc_id") -> DataFrame:
+    """``docs`` without those that the fixed rules or the forest reject; same columns.
+
+    Texts are measured twice, once for the threshold and once for the verdict, so none is moved.
+    """
+    stats = docs.select(F.col(id_).alias("doc_id"), statistics(text).alias("s"))
+    forest = calibrate(written(stats, "statistics"), labels)
+
+    def verdict(texts: pd.Series) -> pd.Series:
+        rows = _measure(texts)
+        failed = (rows.n_words < MIN_WORDS) | (100 * rows.n_repeat_words > MAX_REPEATED * rows.n_words)
+        return ~failed & (forest.score(rows[list(FEATURES)].to_numpy(float)) < forest.threshold)
+
+    return docs.where(udf(verdict, "boolean")(F.col(text)))
