@@ -23,7 +23,7 @@ from pyspark.sql import Column, SparkSession
 from lakemart.llm.common import udf
 
 LEAF = 24  # bytes encoded directly, without halving
-REMEMBERED = 300_000  # encodings or pair checks in one generation of a memory
+REMEMBERED = 200_000  # encodings or pair checks in one generation of a memory
 REMEMBERED_CHARS = 32  # the longest string that is remembered
 # Between blank runs and what follows them no match can span, if these are the only blanks.
 SEGMENT = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")

@@ -40,7 +40,10 @@ _SHIPPED: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
-    """Sends this library's source to the executors, once per application, by the shared folder."""
+    """Sends this library's source to the executors, once per application, and bounds batches."""
+    # Texts can be long and a worker holds several copies of a batch.
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "16m")
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return

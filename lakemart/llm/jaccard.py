@@ -10,7 +10,8 @@ put in the next. A part shared by many is never turned into all of its pairs:
 2. In the parts left, signature trees are built over bounded blocks of members. Nodes hold the OR
    of token bitmaps and the range of sizes; two trees are descended together, and a pair of nodes
    is left out if its greatest possible overlap is below what the least sizes ask for, or if it
-   holds one component only. What remains is compared exactly.
+   holds one component only. Pairs of rows that remain are compared by halves of their hashes, and
+   what then remains exactly.
 """
 
 from __future__ import annotations
@@ -31,7 +32,7 @@ from lakemart.llm.components import components
 BLOCK = 512  # members of a side of a block
 LEAF = 16  # rows of a tree's leaf, and children of a node
 GROWTH = 1.5  # of band sizes
-REMEMBERED = 300_000  # words whose hash a Python worker remembers
+REMEMBERED = 100_000  # words whose hash a Python worker remembers
 
 _B = np.uint64(0x9E3779B97F4A7C15)
 _C = np.uint64(0xC2B2AE3D27D4EB4F)
@@ -209,11 +210,20 @@ def _blocks(sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
         "id", F.coalesce("root", "id").alias("root"), "tokens"
     )
     members = written(known.mapInPandas(emit, "key long, id long, root long"), "parts")
-    per_root = members.groupBy("key", "root").agg(F.count("*").alias("n"))
+    per_root = members.groupBy("key", "root").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("who")
+    )
     open_ = per_root.groupBy("key").agg(
-        F.max(F.struct("n", "root")).alias("most"), F.sum("n").alias("n"), F.count("*").alias("roots")
+        F.max(F.struct("n", "root")).alias("most"),
+        F.sum("n").alias("n"),
+        F.count("*").alias("roots"),
+        F.bit_xor("who").alias("who"),
+    )
+    # Two sets alike in many parts meet in all of them; parts with the same members count once.
+    open_ = open_.where("roots > 1").groupBy("who", "n").agg(
+        F.min("key").alias("key"), F.min("most").alias("most")
     )
-    open_ = open_.where("roots > 1").select(
+    open_ = open_.select(
         "key",
         F.col("most.root").alias("main"),
         F.ceil(F.col("n") / BLOCK).alias("cuts"),
@@ -237,7 +247,11 @@ def _blocks(sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
         "root",
     )
     blocks = many.unionByName(few).withColumn("block", F.xxhash64("key", "x", "y"))
-    return blocks.select("block", "side", "id", "root").join(sets, "id")
+    # The lower half of each hash is enough to bound an overlap from above.
+    halves = sets.select(
+        "id", F.transform("tokens", lambda t: t.bitwiseAND(0x7FFFFFFF).cast("int")).alias("tokens")
+    )
+    return blocks.select("block", "side", "id", "root").join(halves, "id")
 
 
 class Tree:
@@ -305,11 +319,13 @@ def signatures(tokens: list[np.ndarray]) -> np.ndarray:
     return out.view(np.uint64)
 
 
-def _tree_pairs(percent: int):
-    def pairs(group: pd.DataFrame) -> pd.DataFrame:
+def _tree_links(percent: int):
+    def links_of(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values(["side", "root", "id"])
-        tokens = [np.array(t, np.int64).view(np.uint64) for t in group.tokens]
-        bits, size = signatures(tokens), np.array([len(t) for t in tokens])
+        size = np.array([len(t) for t in group.tokens])
+        tokens = [np.unique(np.array(t, np.uint64)) for t in group.tokens]
+        slack = size - np.array([len(t) for t in tokens])
+        bits = signatures(tokens)
         root, ids = group.root.to_numpy(), group.id.to_numpy()
         many = int((group.side == 0).sum())
         out = pd.DataFrame({"a": ids[:0], "b": ids[:0]})
@@ -320,13 +336,16 @@ def _tree_pairs(percent: int):
                 percent,
             )
             j = j + many
-            good = root[i] != root[j]
-            i, j = i[good], j[good]
-            a, b = np.minimum(ids[i], ids[j]), np.maximum(ids[i], ids[j])
-            out = pd.DataFrame({"a": a, "b": b}).drop_duplicates()
+            links = []
+            for p, q in zip(i.tolist(), j.tolist(), strict=True):
+                if root[p] != root[q]:
+                    both = len(np.intersect1d(tokens[p], tokens[q])) + min(slack[p], slack[q])
+                    if (100 + percent) * both >= percent * (size[p] + size[q]):
+                        links.append((min(ids[p], ids[q]), max(ids[p], ids[q])))
+            out = pd.DataFrame(links, columns=["a", "b"], dtype="int64")
         return out
 
-    return pairs
+    return links_of
 
 
 def classes(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
@@ -341,15 +360,13 @@ def classes(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
         found = [shingles(t, k) for t in texts]
         return pd.DataFrame({"n": [len(f) for f in found], "id": [set_id(f) for f in found]})
 
-    def named(texts: pd.Series) -> pd.Series:
-        return pd.Series([set_id(shingles(t, k)) for t in texts], dtype="int64")
-
     measured = docs.withColumn("_q_m", udf(measure, "n long, id long")(F.col(text)))
     members = written(
         measured.select(
             *[F.col(f"`{c}`") for c in docs.columns if c != text],
             F.col("_q_m.n").alias("n_shingles"),
             F.when(F.col("_q_m.n") > 0, F.col("_q_m.id")).alias("set_id"),
+            F.xxhash64(F.col(text)).alias("_q_text"),
         ),
         "members",
     )
@@ -360,24 +377,27 @@ def classes(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
 
     def take(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            batch = batch.drop_duplicates("id")
-            tokens = [shingles(t, k).view(np.int64) for t in batch.text]
-            yield pd.DataFrame({"id": batch.id, "tokens": tokens})
+            found = [shingles(t, k) for t in batch.text.drop_duplicates()]
+            yield pd.DataFrame(
+                {"id": [set_id(f) for f in found], "tokens": [f.view(np.int64) for f in found]}
+            )
 
-    texts = docs.select(udf(named, "long")(F.col(text)).alias("id"), F.col(text).alias("text"))
-    sets = small_join(texts, active, ["id"], "left_semi").mapInPandas(
-        take, "id long, tokens array<long>"
-    )
+    # One text of each set, found again by its hash, so that no other text is cut to shingles anew.
+    chosen = members.select(F.col("set_id").alias("id"), "_q_text").join(active, "id", "left_semi")
+    chosen = written(chosen.groupBy("id").agg(F.min("_q_text").alias("_q_text")), "texts")
+    texts = docs.select(F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("_q_text"))
+    sets = small_join(texts, chosen.select("_q_text"), ["_q_text"], "left_semi")
+    sets = sets.select("text").mapInPandas(take, "id long, tokens array<long>")
     sets = written(sets.groupBy("id").agg(F.first("tokens").alias("tokens")), "sets")
     links = written(_linked(pairs, sets, percent), "stars")
     roots = components(links)
     blocks = _blocks(sets, roots, percent)
-    more = blocks.groupBy("block").applyInPandas(_tree_pairs(percent), "a long, b long").distinct()
-    more = written(_linked(more, sets, percent), "links")
+    more = blocks.groupBy("block").applyInPandas(_tree_links(percent), "a long, b long")
+    more = written(_linked(more.distinct(), sets, percent), "links")
     if more.limit(1).count():
         roots = components(links.union(more))
     found = members.join(roots.select(F.col("id").alias("set_id"), "root"), "set_id", "left")
-    return found.withColumn("root", F.coalesce("root", "set_id"))
+    return found.drop("_q_text").withColumn("root", F.coalesce("root", "set_id"))
 
 
 def join(docs: DataFrame, text: str = "text", id_: str = "doc_id", k: int = 3, percent: int = 90):
