@@ -76,8 +76,6 @@ def restate_dates(
         .distinct()
         .withColumnRenamed("_date", "_touched")
     )
-    # At most one row per calendar date, whatever the number of events.
-    touched = F.broadcast(touched)
     unchanged = base.join(late_keys, on=key, how="left_anti")
     current = union_batches(dated(unchanged), dated(changed))
     fresh = summarize(on_touched(current, "_date", "left_semi").drop("_date"))

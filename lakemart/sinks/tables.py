@@ -156,10 +156,10 @@ def create_or_replace(df: DataFrame, table: str, provider: str | None = None) ->
 def upsert_table(df: DataFrame, table: str, key: str) -> None:
     """Row-level MERGE into a v2 table; creates the table on first use."""
     spark = df.sparkSession
+    check_keys(df, key)
     if not spark.catalog.tableExists(table):
         create_or_replace(df, table)
         return
-    check_keys(df, key)
     (
         df.alias("s")
         .mergeInto(table, F.expr(f"{table}.`{key}` = s.`{key}`"))
