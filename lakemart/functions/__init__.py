@@ -1,6 +1,6 @@
 """Column expressions."""
 
-from lakemart.functions.aggregates import count_true, exact_sum, mean, total
+from lakemart.functions.aggregates import count_true, mean, measure, total
 from lakemart.functions.columns import (
     clamp,
     clean_id,
@@ -22,11 +22,11 @@ __all__ = [
     "clean_id",
     "count_true",
     "event_date",
-    "exact_sum",
     "floor_at",
     "full_name",
     "guarded_ratio",
     "mean",
+    "measure",
     "named",
     "on_time",
     "ordered_actual",

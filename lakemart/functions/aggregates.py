@@ -1,11 +1,9 @@
-"""Aggregates whose result does not depend on row order.
-
-A sum of doubles changes in its last digits with the order in which partitions
-arrive. Over billions of rows that drift exceeds a one-cent control-total
-tolerance and makes a retried task give another mart. ``exact_sum`` adds whole
-units and millionths as two long counters instead: both are plain long sums with
-map-side partial aggregation, cost little more than a double sum (a decimal sum is
-ten times slower), and are rounded to double once per group.
+"""Sums, averages and conditional counts.
+
+A sum of doubles changes in its last digits with the order in which partitions arrive, and over
+billions of rows that drift exceeds a one-cent control-total tolerance. Measures with a declared
+number of decimals are therefore summed as decimals, which is exact in any order; for all other
+doubles the plain sum is taken. The declaration decides, never the values.
 """
 
 from __future__ import annotations
@@ -16,39 +14,37 @@ from pyspark.sql import types as T
 
 from lakemart.functions.columns import named
 
-MILLION = 1_000_000
-# Beyond this a double has no millionths left to keep.
-EXACT_LIMIT = 1e15
+DIGITS = 28  # of a declared measure; its sums have ten more
+NOISE = 2.0**-40  # relative error that arithmetic on doubles may leave in a measure
 
 
-def exact_sum(column: str | Column) -> Column:
-    """Order-independent sum of a double column, exact to a millionth per row.
+def measure(column: str | Column, scale: int) -> Column:
+    """A double as a decimal of ``scale`` places; one that needs more of them raises.
 
-    Groups holding NaN, infinity or values of 1e15 and more use the plain sum.
+    Only what arithmetic leaves is rounded off: NOISE of the value, or a millionth of the last place.
     """
-    x = named(column)
-    fits = F.abs(x) < F.lit(EXACT_LIMIT)
-    units = F.sum(F.when(fits, F.floor(x)))
-    millionths = F.sum(F.when(fits, F.rint((x - F.floor(x)) * MILLION).cast("bigint")))
-    one_millionth = F.lit("0.000001").cast("decimal(7,6)")
-    exact = units.cast("decimal(20,0)") + millionths.cast("decimal(20,0)") * one_millionth
-    return F.when(F.count(x) == F.count_if(fits), exact.cast("double")).otherwise(F.sum(x))
+    x = named(column).cast("double")
+    exact = x.try_cast(f"decimal({DIGITS},{scale})")
+    noise = F.greatest(F.abs(x) * F.lit(NOISE), F.lit(10.0 ** -(scale + 6)))
+    fits = F.abs(exact.cast("double") - x) <= noise
+    problem = F.concat(F.lit(f"no measure of {scale} decimals: "), x.cast("string"))
+    return F.when(x.isNull() | fits, exact).otherwise(F.raise_error(problem))
 
 
 def _fractional(df: DataFrame, column: str) -> bool:
     return isinstance(df.schema[column].dataType, (T.DoubleType, T.FloatType))
 
 
-def total(df: DataFrame, column: str) -> Column:
-    """Sum of ``column``, order-independent whatever its type."""
-    if _fractional(df, column):
-        return exact_sum(named(column).cast("double"))
+def total(df: DataFrame, column: str, scale: int | None = None) -> Column:
+    """Sum of ``column``; doubles with a declared ``scale`` are added as decimals."""
+    if scale is not None and _fractional(df, column):
+        return F.sum(measure(column, scale)).cast("double")
     return F.sum(named(column))
 
 
-def mean(df: DataFrame, column: str) -> Column:
+def mean(df: DataFrame, column: str, scale: int | None = None) -> Column:
     """Average over the non-NULL values of ``column``."""
-    return F.try_divide(total(df, column).cast("double"), F.count(named(column)))
+    return F.try_divide(total(df, column, scale).cast("double"), F.count(named(column)))
 
 
 def count_true(flag: str | Column) -> Column:

@@ -8,6 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakemart.functions.aggregates import measure
 from lakemart.functions.columns import named
 
 
@@ -40,26 +41,27 @@ def preaggregate_join(
     )
 
 
-def fanout_factor(parent: DataFrame, child: DataFrame, key: str, measure: str) -> DataFrame:
+def fanout_factor(
+    parent: DataFrame, child: DataFrame, key: str, amount: str, scale: int = 2
+) -> DataFrame:
     """How much a direct one-to-many join would inflate a parent measure.
 
     (parent_rows, joined_rows, true_total, joined_total, inflation_factor). A parent
     with n children shows up max(n, 1) times in the join, so children are counted
-    per key and the inflated join itself is never built.
+    per key and the inflated join itself is never built. ``amount`` is stated with ``scale``
+    decimals.
     """
-    from lakemart.functions.aggregates import exact_sum
-
     children = summarize(child.where(named(key).isNotNull()), key, _children=F.count("*"))
     copies = F.greatest(F.coalesce(F.col("_children"), F.lit(0)), F.lit(1))
-    value = named(measure).cast("double")
+    value = measure(amount, scale)
     return (
-        parent.select(key, measure)
+        parent.select(key, amount)
         .join(children, on=key, how="left")
         .agg(
             F.count("*").alias("parent_rows"),
             F.coalesce(F.sum(copies), F.lit(0)).alias("joined_rows"),
-            F.round(exact_sum(value), 2).alias("true_total"),
-            F.round(exact_sum(value * copies), 2).alias("joined_total"),
+            F.round(F.sum(value).cast("double"), 2).alias("true_total"),
+            F.round(F.sum(value * copies).cast("double"), 2).alias("joined_total"),
         )
         .withColumn(
             "inflation_factor",

@@ -9,10 +9,10 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.functions.aggregates import count_true, mean, total
+from lakemart.functions.aggregates import count_true, mean, measure, total
 from lakemart.functions.columns import event_date, full_name, guarded_ratio, pct, ratio
 from lakemart.operators.joins import enrich, preaggregate_join, summarize
 
@@ -20,48 +20,70 @@ Tables = Mapping[str, DataFrame]
 
 # Output columns of each mart, in order.
 LOAD_COLUMNS = (
-    "load_id customer_id customer_name customer_type account_status route_id origin_city "
-    "origin_state destination_city destination_state load_date load_type weight_lbs pieces "
-    "revenue load_status booking_type total_delivery_events on_time_events "
-    "total_detention_minutes"
-).split()
+    "load_id", "customer_id", "customer_name", "customer_type", "account_status", "route_id",
+    "origin_city", "origin_state", "destination_city", "destination_state", "load_date",
+    "load_type", "weight_lbs", "pieces", "revenue", "load_status", "booking_type",
+    "total_delivery_events", "on_time_events", "total_detention_minutes",
+)
 DELIVERY_COLUMNS = (
-    "event_id load_id trip_id customer_id driver_id truck_id event_type facility_id "
-    "facility_name facility_type location_city location_state scheduled_datetime "
-    "actual_datetime detention_minutes on_time_flag revenue trip_status"
-).split()
+    "event_id", "load_id", "trip_id", "customer_id", "driver_id", "truck_id", "event_type",
+    "facility_id", "facility_name", "facility_type", "location_city", "location_state",
+    "scheduled_datetime", "actual_datetime", "detention_minutes", "on_time_flag", "revenue",
+    "trip_status",
+)
 DRIVER_COLUMNS = (
-    "driver_id driver_name employment_status years_experience total_trips "
-    "total_distance_miles avg_distance_miles avg_duration_hours total_fuel_gallons "
-    "avg_fuel_gallons fuel_efficiency_miles_per_gallon total_idle_time_hours "
-    "avg_idle_time_hours"
-).split()
+    "driver_id", "driver_name", "employment_status", "years_experience", "total_trips",
+    "total_distance_miles", "avg_distance_miles", "avg_duration_hours", "total_fuel_gallons",
+    "avg_fuel_gallons", "fuel_efficiency_miles_per_gallon", "total_idle_time_hours",
+    "avg_idle_time_hours",
+)
 TRUCK_COLUMNS = (
-    "truck_id unit_number make model_year fuel_type tank_capacity_gallons status total_trips "
-    "total_distance_miles avg_distance_miles total_fuel_gallons avg_fuel_per_trip_gallons "
-    "fuel_efficiency_miles_per_gallon total_idle_time_hours avg_idle_time_hours"
-).split()
+    "truck_id", "unit_number", "make", "model_year", "fuel_type", "tank_capacity_gallons",
+    "status", "total_trips", "total_distance_miles", "avg_distance_miles", "total_fuel_gallons",
+    "avg_fuel_per_trip_gallons", "fuel_efficiency_miles_per_gallon", "total_idle_time_hours",
+    "avg_idle_time_hours",
+)
 FACILITY_COLUMNS = (
-    "facility_id facility_name city state total_events on_time_events on_time_rate "
-    "avg_detention_minutes"
-).split()
+    "facility_id", "facility_name", "city", "state", "total_events", "on_time_events",
+    "on_time_rate", "avg_detention_minutes",
+)
 ROUTE_COLUMNS = (
-    "route_id origin_city origin_state destination_city destination_state "
-    "typical_distance_miles typical_transit_days total_trips avg_trip_duration_hours "
-    "avg_actual_distance_miles avg_fuel_consumed_gallons fuel_efficiency_miles_per_gallon"
-).split()
+    "route_id", "origin_city", "origin_state", "destination_city", "destination_state",
+    "typical_distance_miles", "typical_transit_days", "total_trips", "avg_trip_duration_hours",
+    "avg_actual_distance_miles", "avg_fuel_consumed_gallons", "fuel_efficiency_miles_per_gallon",
+)
 CUSTOMER_COLUMNS = (
-    "customer_id customer_name customer_type account_status total_loads total_revenue "
-    "avg_revenue_per_load avg_load_weight_lbs total_pieces"
-).split()
+    "customer_id", "customer_name", "customer_type", "account_status", "total_loads",
+    "total_revenue", "avg_revenue_per_load", "avg_load_weight_lbs", "total_pieces",
+)
 DAILY_COLUMNS = (
-    "event_date total_events on_time_events on_time_rate avg_detention_minutes"
-).split()
+    "event_date", "total_events", "on_time_events", "on_time_rate", "avg_detention_minutes",
+)
+
+# Decimals that measures are stated with. Their sums are exact; a value with more decimals fails the
+# mart. A measure that is not listed is added up as a double.
+SCALES = {
+    "revenue": 2,
+    "weight_lbs": 6,
+    "detention_minutes": 6,
+    "actual_distance_miles": 6,
+    "actual_duration_hours": 6,
+    "fuel_gallons_used": 6,
+    "idle_time_hours": 6,
+}
 
 CUSTOMER_ATTRIBUTES = ("customer_name", "customer_type", "account_status")
 ROUTE_ENDS = ("origin_city", "origin_state", "destination_city", "destination_state")
 
 
+def _total(df: DataFrame, column: str) -> Column:
+    return total(df, column, SCALES.get(column))
+
+
+def _mean(df: DataFrame, column: str) -> Column:
+    return mean(df, column, SCALES.get(column))
+
+
 def load_performance(t: Tables) -> DataFrame:
     """One row per load with its delivery figures; loads without events show zeros."""
     events = t["delivery_events"]
@@ -70,7 +92,7 @@ def load_performance(t: Tables) -> DataFrame:
         "load_id",
         total_delivery_events=F.count("*"),
         on_time_events=count_true("on_time_flag"),
-        total_detention_minutes=F.round(total(events, "detention_minutes"), 2).cast("double"),
+        total_detention_minutes=F.round(_total(events, "detention_minutes"), 2).cast("double"),
     )
     zeros = {"total_delivery_events": 0, "on_time_events": 0, "total_detention_minutes": 0.0}
     mart = preaggregate_join(t["loads"], by_load, "load_id", zeros)
@@ -95,13 +117,13 @@ def driver_performance(t: Tables) -> DataFrame:
         trips,
         "driver_id",
         total_trips=F.count("*"),
-        total_distance_miles=total(trips, "actual_distance_miles"),
-        avg_distance_miles=mean(trips, "actual_distance_miles"),
-        avg_duration_hours=mean(trips, "actual_duration_hours"),
-        total_fuel_gallons=total(trips, "fuel_gallons_used"),
-        avg_fuel_gallons=mean(trips, "fuel_gallons_used"),
-        total_idle_time_hours=total(trips, "idle_time_hours"),
-        avg_idle_time_hours=mean(trips, "idle_time_hours"),
+        total_distance_miles=_total(trips, "actual_distance_miles"),
+        avg_distance_miles=_mean(trips, "actual_distance_miles"),
+        avg_duration_hours=_mean(trips, "actual_duration_hours"),
+        total_fuel_gallons=_total(trips, "fuel_gallons_used"),
+        avg_fuel_gallons=_mean(trips, "fuel_gallons_used"),
+        total_idle_time_hours=_total(trips, "idle_time_hours"),
+        avg_idle_time_hours=_mean(trips, "idle_time_hours"),
     )
     mart = enrich(
         mart,
@@ -122,12 +144,12 @@ def truck_performance(t: Tables) -> DataFrame:
         trips,
         "truck_id",
         total_trips=F.count("*"),
-        total_distance_miles=total(trips, "actual_distance_miles"),
-        avg_distance_miles=mean(trips, "actual_distance_miles"),
-        total_fuel_gallons=total(trips, "fuel_gallons_used"),
-        avg_fuel_per_trip_gallons=mean(trips, "fuel_gallons_used"),
-        total_idle_time_hours=total(trips, "idle_time_hours"),
-        avg_idle_time_hours=mean(trips, "idle_time_hours"),
+        total_distance_miles=_total(trips, "actual_distance_miles"),
+        avg_distance_miles=_mean(trips, "actual_distance_miles"),
+        total_fuel_gallons=_total(trips, "fuel_gallons_used"),
+        avg_fuel_per_trip_gallons=_mean(trips, "fuel_gallons_used"),
+        total_idle_time_hours=_total(trips, "idle_time_hours"),
+        avg_idle_time_hours=_mean(trips, "idle_time_hours"),
     )
     mart = enrich(
         mart,
@@ -145,7 +167,7 @@ def _punctuality(events: DataFrame, by) -> DataFrame:
         by,
         total_events=F.count("*"),
         on_time_events=count_true("on_time_flag"),
-        avg_detention_minutes=mean(events, "detention_minutes"),
+        avg_detention_minutes=_mean(events, "detention_minutes"),
     ).withColumn("on_time_rate", pct("on_time_events", "total_events"))
 
 
@@ -170,11 +192,11 @@ def route_performance(t: Tables) -> DataFrame:
     }
     parts = {"_trips": F.count("*")}
     for column in measures.values():
-        parts[f"_sum_{column}"] = total(trips, column).cast("double")
+        parts[f"_sum_{column}"] = F.sum(measure(column, SCALES[column]))
         parts[f"_count_{column}"] = F.count(column)
     per_load = enrich(summarize(trips, "load_id", **parts), t["loads"], "load_id", "route_id")
     averages = {
-        name: F.try_divide(total(per_load, f"_sum_{c}"), F.sum(f"_count_{c}"))
+        name: F.try_divide(F.sum(f"_sum_{c}").cast("double"), F.sum(f"_count_{c}"))
         for name, c in measures.items()
     }
     mart = summarize(per_load, "route_id", total_trips=F.sum("_trips"), **averages)
@@ -192,9 +214,9 @@ def customer_performance(t: Tables) -> DataFrame:
         loads,
         "customer_id",
         total_loads=F.count("*"),
-        total_revenue=total(loads, "revenue"),
-        avg_load_weight_lbs=mean(loads, "weight_lbs"),
-        total_pieces=total(loads, "pieces"),
+        total_revenue=_total(loads, "revenue"),
+        avg_load_weight_lbs=_mean(loads, "weight_lbs"),
+        total_pieces=_total(loads, "pieces"),
     )
     mart = enrich(mart, t["customers"], "customer_id", *CUSTOMER_ATTRIBUTES)
     per_load = ratio("total_revenue", "total_loads")

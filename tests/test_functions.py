@@ -104,28 +104,43 @@ def test_time_repair(frame):
     ]
 
 
-def test_exact_sum_does_not_depend_on_order(spark):
+def test_measures_add_up_in_any_order(spark):
     random.seed(1)
     cents = [random.randint(-10**9, 10**12) for _ in range(5000)]
     values = [c / 100 for c in cents]
     expected = float(sum(Decimal(c) for c in cents) / 100)
     for order in (values, values[::-1], sorted(values)):
         df = spark.createDataFrame([(v,) for v in order], "x double").repartition(7)
-        assert df.agg(fn.exact_sum("x")).first()[0] == expected
+        assert df.agg(fn.total(df, "x", 2)).first()[0] == expected
 
 
-def test_exact_sum_falls_back(frame):
-    nan, inf = float("nan"), float("inf")
-    df = frame("g string, x double", ("n", nan), ("n", 1.0), ("i", inf), ("b", 1e300), ("b", 1e300),
-               ("z", None), ("m", None), ("m", 0.1))
-    got = {r[0]: r[1] for r in df.groupBy("g").agg(fn.exact_sum("x")).collect()}
-    assert math.isnan(got["n"]) and got["i"] == inf and got["b"] == 2e300
-    assert got["z"] is None and got["m"] == 0.1
+def test_noise_of_arithmetic_is_no_decimal(frame):
+    df = frame("x double", (0.1 + 0.2,), (5000.01 - 5000,), (4734.02 - 5000,))
+    assert df.agg(fn.total(df, "x", 6)).first()[0] == -265.67
+
+
+def test_sums_of_extremes(spark):
+    tiny = spark.range(1_000_000).select(F.lit(4e-7).alias("x"))
+    assert tiny.agg(F.round(fn.total(tiny, "x"), 9)).first()[0] == 0.4
+    huge = spark.range(20_000).select(F.lit(9e14).alias("x"))
+    assert huge.agg(fn.total(huge, "x", 2)).first()[0] == 1.8e19
+    assert huge.agg(fn.total(huge, "x")).first()[0] == pytest.approx(1.8e19)
+
+
+@pytest.mark.parametrize("bad", [0.125, 4e-7, 0.010001, float("nan"), float("inf"), 1e300])
+def test_a_measure_with_more_decimals_is_refused(frame, bad):
+    df = frame("x double", (1.5,), (bad,), (None,))
+    with pytest.raises(Exception, match="no measure of 2 decimals"):
+        df.agg(fn.total(df, "x", 2)).collect()
 
 
 def test_total_and_mean_by_type(frame):
     df = frame("i int, d double, f boolean", (1, 0.1, True), (2, 0.2, None), (None, None, False))
     got = df.agg(
-        fn.total(df, "i"), fn.mean(df, "i"), fn.total(df, "d"), fn.mean(df, "d"), fn.count_true("f")
+        fn.total(df, "i"),
+        fn.mean(df, "i"),
+        fn.total(df, "d", 2),
+        fn.mean(df, "d", 2),
+        fn.count_true("f"),
     ).first()
     assert tuple(got) == (3, 1.5, 0.3, 0.15, 1)
