@@ -55,22 +55,38 @@ def _previous(target: str) -> str:
     return f"{parent}/_previous_{name}"
 
 
-def recover(spark: SparkSession, target: str) -> None:
+def parked(table: str) -> str:
+    """Folder next to ``table`` where old partitions wait; inside, readers would find them."""
+    parent, _, name = table.rstrip("/").rpartition("/")
+    return f"{parent}/_previous_partitions_{name}"
+
+
+def recover_partitions(spark: SparkSession, table: str) -> None:
+    """Finish partition swaps that died: old versions without a new one come back."""
+    aside = parked(table)
+    if exists(spark, aside):
+        for old in children(spark, aside):
+            recover(spark, f"{table}/{name_of(old)}", old)
+        delete(spark, aside)
+
+
+def recover(spark: SparkSession, target: str, previous: str | None = None) -> None:
     """Finish a swap that died between its two renames: bring the old version back."""
-    previous = _previous(target)
+    previous = previous or _previous(target)
     if exists(spark, previous) and not exists(spark, target):
         rename(spark, previous, target)
 
 
-def swap_in(spark: SparkSession, staged: str, target: str) -> None:
+def swap_in(spark: SparkSession, staged: str, target: str, previous: str | None = None) -> None:
     """Put a completely written folder in the place of ``target``.
 
     The old version is moved aside first and dropped last, so that at any moment one
     complete version exists. Two renames are atomic each, not together: readers that
     need isolation should use a catalog table (see ``tables.create_or_replace``).
+    ``previous`` is where the old version waits, by default next to ``target``.
     """
-    recover(spark, target)
-    previous = _previous(target)
+    previous = previous or _previous(target)
+    recover(spark, target, previous)
     if exists(spark, previous):
         delete(spark, previous)
     if exists(spark, target):

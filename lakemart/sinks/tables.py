@@ -14,7 +14,9 @@ from lakemart.sinks.paths import (
     delete,
     exists,
     name_of,
+    parked,
     recover,
+    recover_partitions,
     staging_path,
     swap_in,
 )
@@ -71,11 +73,14 @@ def stage_upsert(source: DataFrame, target: str, key: str) -> str:
     try:
         written = read_path(spark, batch, source.schema)
         check_keys(written, key)
-        if not exists(spark, target):
-            return stage(written, target)
-        return stage(merged(read_path(spark, target), written, key), target)
-    finally:
+        first = not exists(spark, target)
+        staged = batch if first else stage(merged(read_path(spark, target), written, key), target)
+    except Exception:
         delete(spark, batch)
+        raise
+    if not first:
+        delete(spark, batch)
+    return staged
 
 
 def upsert(source: DataFrame, target: str, key: str) -> None:
@@ -94,8 +99,12 @@ def upsert_partitions(source: DataFrame, target: str, key: str, by: str) -> list
     These are the partitions the batch has rows for and those its keys sit in today, so a
     row that changes its partition leaves the old one. Returns their folder names. Each
     partition is swapped in by itself: run the upsert again if it was interrupted.
+
+    Two scans of the table: its keys and partitions, to find those concerned, and then these
+    partitions only. Their number is bounded by that of the partition folders of the table.
     """
     spark = source.sparkSession
+    recover(spark, target)
     batch = stage(source, target, [by])
     try:
         written = read_path(spark, batch, source.schema)
@@ -103,30 +112,36 @@ def upsert_partitions(source: DataFrame, target: str, key: str, by: str) -> list
         if not exists(spark, target):
             swap_in(spark, stage(written, target, [by]), target)
             return [name_of(p) for p in children(spark, target) if f"/{by}=" in p]
+        recover_partitions(spark, target)
         current = read_path(spark, target, source.schema)
-        folder = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
-        located = current.select("*", folder.alias("_folder"))
+        # In file paths the folder name is URL-encoded once more.
+        raw = F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/[^/]+$", 1)
+        folder = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))).alias("_folder")
         keys = written.select(named(key).alias("_key"))
+        located = current.select(named(key), named(by).alias("_by"), folder)
         hit = located.join(keys, named(key) == F.col("_key"), "left_semi")
-        here = written.select(folder.alias("_folder"))
-        # One row per partition folder of the table.
-        touched = hit.select("_folder").union(here).distinct().withColumnRenamed("_folder", "_hit")
-        same_folder = F.col("_folder") == F.col("_hit")
-        affected = located.join(F.broadcast(touched), same_folder, "left_semi").drop("_folder")
-        staged = stage(merged(affected, written, key), target, [by])
-        # In file paths the folder name is URL-encoded once more.
-        decoded = F.url_decode(F.replace("_hit", F.lit("+"), F.lit("%2B")))
-        names = [r[0] for r in touched.select(decoded).collect()]
+        touched = hit.select("_by", "_folder").union(written.select(named(by), folder)).distinct()
+        found = touched.collect()
+        staged = stage(merged(within(current, by, [r[0] for r in found]), written, key), target, [by])
     finally:
         delete(spark, batch)
     full = {name_of(p) for p in children(spark, staged)}
+    names = sorted({r[1] for r in found})
     for name in names:
         if name in full:
-            swap_in(spark, f"{staged}/{name}", f"{target}/{name}")
+            swap_in(spark, f"{staged}/{name}", f"{target}/{name}", f"{parked(target)}/{name}")
         else:
             delete(spark, f"{target}/{name}")
     delete(spark, staged)
-    return sorted(names)
+    delete(spark, parked(target))
+    return names
+
+
+def within(df: DataFrame, by: str, values: Sequence) -> DataFrame:
+    """Rows whose ``by`` is among ``values`` (None for NULL): a filter that prunes partitions."""
+    known = [v for v in values if v is not None]
+    wanted = named(by).isin(known)
+    return df.where(wanted | named(by).isNull() if len(known) < len(values) else wanted)
 
 
 def overwrite_partitions(df: DataFrame, target: str, by: Sequence[str]) -> None:

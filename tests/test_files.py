@@ -175,6 +175,29 @@ def test_upsert_by_partition(spark, frame, tmp_path, rows):
         tables.upsert_partitions(batch.union(batch), target, "k", "d")
 
 
+def test_interrupted_partition_swap(spark, frame, tmp_path, rows):
+    target, schema = str(tmp_path / "t"), "k int, v string, d string"
+    tables.upsert_partitions(frame(schema, (1, "a", "x"), (2, "b", "y"), (3, "c", None)), target, "k", "d")
+    # The state between the two renames of a partition: readers see the others, the rerun all.
+    paths.rename(spark, f"{target}/d=x", f"{paths.parked(target)}/d=x")
+    assert rows(read_path(spark, target, spark.createDataFrame([], schema).schema), "k") == [(2,), (3,)]
+    batch = frame(schema, (2, "B", "x"), (3, "C", None))
+    assert tables.upsert_partitions(batch, target, "k", "d") == [
+        "d=__HIVE_DEFAULT_PARTITION__", "d=x", "d=y"
+    ]
+    assert rows(read_path(spark, target), "k", "v") == [(1, "a"), (2, "B"), (3, "C")]
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_rewritten_partitions_are_pruned(spark, frame, tmp_path):
+    target = str(tmp_path / "t")
+    tables.upsert_partitions(frame("k int, d int", (1, 1), (2, 2), (3, 3)), target, "k", "d")
+    plan = tables.within(read_path(spark, target), "d", [1, 3])
+    assert len(plan.inputFiles()) == 3  # of the relation; the scan takes less
+    text = plan._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [d" in text
+
+
 def test_catalog_tables(spark, frame, rows):
     for v in (1, 2):
         tables.create_or_replace(frame("k int, v int", (1, v), (1, v - 1)), "lakemart_catalog_test")
