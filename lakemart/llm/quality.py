@@ -1,8 +1,10 @@
 """Quality rules: fixed rules reject, and an isolation forest on the rules' statistics judges the rest.
 
 The forest is grown on documents labelled good. Random splits isolate a document that is unlike
-them after few steps, so short paths mean anomalous. The threshold is set on all labelled rows: the
-lowest at which no more than LOSS of the good ones would go.
+them after few steps, so short paths mean anomalous. A feature that is constant among them is split
+over the range of all labelled documents, since its other values are what junk looks like. The
+threshold is set on both labels: of those at which no more than LOSS of the good documents would go,
+the one with the largest share of bad documents rejected less that of good ones.
 """
 
 from __future__ import annotations
@@ -18,6 +20,7 @@ from pyspark.sql import functions as F
 
 from lakemart.llm.common import udf, written
 
+CAPITALS = bytes(range(65, 91))
 BLANKS = " \t\n\r\x0b\x0c"  # fixed values: what separates words
 SYMBOLS = "#*$%&|<>"  # fixed values: what counts as a symbol
 WINDOW = 8
@@ -56,9 +59,17 @@ def repeated_words(words: list[bytes]) -> int:
     return int((np.cumsum(edges[:-1]) > 0).sum())
 
 
+def count_capitals(text: str, data: bytes) -> int:
+    """Upper-case letters of a text, whose UTF-8 bytes are given, too."""
+    if len(data) == len(text):
+        return len(data) - len(data.translate(None, CAPITALS))
+    return sum(map(str.isupper, text))
+
+
 def measure(text: str) -> tuple:
     """STATS and FEATURES of one text."""
-    words = text.encode("utf-8").split()
+    data = text.encode("utf-8")
+    words = data.split()
     n = len(words)
     chars = len(text) - sum(map(text.count, BLANKS))
     symbols = sum(map(text.count, SYMBOLS))
@@ -68,7 +79,6 @@ def measure(text: str) -> tuple:
         repeats = repeated_words(words)
     if not n:
         return (0, 0, symbols, dup, 0, *[0.0] * len(FEATURES))
-    capitals = sum(map(str.isupper, text)) if text.upper() == text else 0
     sample_marks = text.count("!") + text.count("?") + text.count(".") + text.count(",")
     digits = sum(map(text.count, "0123456789"))
     return (
@@ -81,7 +91,7 @@ def measure(text: str) -> tuple:
         symbols / n,
         dup / len(lines),
         repeats / n,
-        capitals / chars,
+        count_capitals(text, data) / chars,
         sample_marks / n,
         len(set(words)) / n**0.8,
         digits / chars,
@@ -138,32 +148,49 @@ class Forest:
         return 2.0 ** -(total / len(self.feature) / self.norm)
 
 
-def grow(rows: np.ndarray, seed: int = 5) -> Forest:
-    """An isolation forest on the rows of FEATURES."""
+def grow(rows: np.ndarray, seed: int = 5, bounds: tuple[np.ndarray, np.ndarray] | None = None) -> Forest:
+    """An isolation forest on the rows of FEATURES.
+
+    ``bounds`` are the least and greatest values known of each feature, which one that is constant
+    in ``rows`` is split between. Such a split leaves one side empty: nothing alike was seen there.
+    """
     random = np.random.default_rng(seed)
     n = max(2, min(LEAF_ROWS, len(rows)))
-    limit, most = math.ceil(math.log2(n)), 2 * n
+    limit = math.ceil(math.log2(n))
+    most = 2 ** (limit + 1)
     shape = (TREES, most)
     forest = Forest(
         np.full(shape, -1, np.int32), np.zeros(shape), np.zeros(shape, np.int32), np.zeros(shape), _expected(n)
     )
-    for t in range(TREES if len(rows) else 0):
+    if not len(rows):
+        return forest
+    least, greatest = bounds or (rows.min(axis=0), rows.max(axis=0))
+    constant = rows.min(axis=0) == rows.max(axis=0)
+    for t in range(TREES):
         own = rows[random.choice(len(rows), min(n, len(rows)), replace=False)]
-        work, used = [(0, own, 0)], 1
+        work, used = [(0, own, 0, least, greatest)], 1
         while work:
-            node, part, depth = work.pop()
-            low, high = part.min(axis=0), part.max(axis=0)
-            varied = np.flatnonzero(high > low)
+            node, part, depth, floor, ceiling = work.pop()
             forest.depth[t][node] = depth + _expected(len(part))
-            if depth >= limit or not len(varied):
+            if depth >= limit or len(part) < 2:
+                continue
+            low = np.where(constant, floor, part.min(axis=0))
+            high = np.where(constant, ceiling, part.max(axis=0))
+            varied = np.flatnonzero(high > low)
+            if not len(varied):
                 continue
             f = random.choice(varied)
             cut = random.uniform(low[f], high[f])
             right = part[:, f] >= cut
-            if right.all():  # the cut fell on the least value
+            if right.all() and not constant[f]:  # the cut fell on the least value
                 continue
             forest.feature[t][node], forest.cut[t][node], forest.child[t][node] = f, cut, used
-            work += [(used, part[~right], depth + 1), (used + 1, part[right], depth + 1)]
+            below, above = ceiling.copy(), floor.copy()
+            below[f] = above[f] = cut
+            work += [
+                (used, part[~right], depth + 1, floor, below),
+                (used + 1, part[right], depth + 1, above, ceiling),
+            ]
             used += 2
     return forest
 
@@ -183,8 +210,10 @@ def calibrate(stats: DataFrame, labels: DataFrame, seed: int = 5) -> Forest:
     """The forest for ``stats`` (doc_id, s: struct of statistics) and ``labels`` (doc_id, quality).
 
     It is grown on at most SAMPLE of the rows labelled good (quality 1; the first by a hash of
-    their values); the threshold is set on all labelled rows that pass the fixed rules. Null ids or
-    labels take no part. Without labels nothing is rejected beyond the fixed rules.
+    their values), within the ranges of all labelled rows; the threshold is set on all labelled rows
+    (quality 1 or 0). Rows that the fixed rules reject, null ids and null labels take no part.
+    Without bad labels the threshold is the lowest allowed; without good ones nothing is rejected
+    beyond the fixed rules.
     """
     known = (
         stats.join(labels.select("doc_id", "quality").dropna().distinct(), "doc_id")
@@ -193,22 +222,38 @@ def calibrate(stats: DataFrame, labels: DataFrame, seed: int = 5) -> Forest:
     )
     good = known.where("quality = 1").select("s.*").select(*FEATURES)
     fit = good.orderBy(F.xxhash64(F.lit(seed), *FEATURES), *FEATURES).limit(SAMPLE).toPandas()
-    forest = grow(fit.to_numpy(float), seed)
     if not len(fit):
-        return forest
+        return grow(fit.to_numpy(float), seed)
+    ends = known.agg(*[f(f"s.{c}") for f in (F.min, F.max) for c in FEATURES]).first()
+    bounds = np.array(ends[: len(FEATURES)]), np.array(ends[len(FEATURES) :])
+    forest = grow(fit.to_numpy(float), seed, bounds)
     bins = (
         known.withColumn("bin", F.floor(scorer(forest)("s") * BINS))
         .groupBy("bin")
-        .agg(F.count_if(F.col("quality") == 1).alias("good"))
+        .agg(
+            F.count_if(F.col("quality") == 1).alias("good"),
+            F.count_if(F.col("quality") == 0).alias("bad"),
+        )
         .toPandas()
         .sort_values("bin", ascending=False)
     )
-    lost = bins.good.cumsum()
-    allowed = bins.bin[lost <= LOSS * bins.good.sum()]
-    forest.threshold = (allowed.min() if len(allowed) else BINS + 1) / BINS
+    forest.threshold = threshold(bins.bin.to_numpy(), bins.good.to_numpy(), bins.bad.to_numpy())
     return forest
 
 
+def threshold(bins: np.ndarray, good: np.ndarray, bad: np.ndarray) -> float:
+    """The score from which rows are rejected, by the labelled rows in each bin, highest bin first."""
+    lost, caught = good.cumsum() / max(1, good.sum()), bad.cumsum() / max(1, bad.sum())
+    allowed = np.flatnonzero(lost <= LOSS)
+    if not len(allowed):
+        return (BINS + 1) / BINS
+    gain = (caught - lost)[allowed] if bad.any() else allowed
+    at = len(gain) - 1 - int(np.argmax(gain[::-1]))  # the lowest of equal ones
+    if bad.any() and gain[at] < 0:
+        return (BINS + 1) / BINS
+    return bins[allowed[at]] / BINS
+
+
 def judge(stats: Column, forest: Forest) -> tuple[Column, Column]:
     """(anomaly score, whether a document is kept) of a struct of statistics."""
     score = scorer(forest)(stats)

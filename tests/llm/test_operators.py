@@ -87,6 +87,32 @@ def test_repeated_words():
         assert quality.repeated_words(words[:8] + [b"x"] + words[:8]) == 16
 
 
+def test_capitals_are_counted_in_every_text():
+    at = len(quality.STATS) + quality.FEATURES.index("capitals")
+    for text in ["MOSTLY CAPITAL Text x", "ÄÖ ß É Ünd", "all small", "ALL"]:
+        chars = len(text.replace(" ", ""))
+        assert quality.measure(text)[at] == sum(c.isupper() for c in text) / chars
+
+
+def test_forest_splits_features_that_good_rows_do_not_vary(spark):
+    random = np.random.default_rng(6)
+    words = [f"word{i}" for i in range(3000)]
+    good = [" ".join(random.choice(words, 40)) + "." for _ in range(300)]
+    junk = [t.replace(" ", " ### ") for t in good[:60]]
+    rows = [(i, t) for i, t in enumerate(good + junk)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 300)) for i in range(len(rows))], "doc_id long, quality int")
+    kept = {r.doc_id for r in quality.keep(docs, labels).collect()}
+    assert sum(i < 300 for i in kept) >= 298
+    assert sum(i >= 300 for i in kept) <= 6
+
+
+def test_threshold_uses_both_labels():
+    bins, good = np.array([90, 80, 70, 60]), np.array([0, 1, 1, 998])
+    assert quality.threshold(bins, good, np.array([5, 5, 0, 0])) == 80 / quality.BINS
+    assert quality.threshold(bins, good, np.zeros(4, int)) == 70 / quality.BINS
+
+
 def test_suffix_removal_equals_brute_force(spark):
     random = np.random.default_rng(2)
     base = "".join(random.choice(list("abcdefg é"), 900))
