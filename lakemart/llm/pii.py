@@ -4,7 +4,8 @@ Everything is Spark SQL. A pattern's matches come from ``regexp_extract_all``; t
 from splitting the text by the same pattern, since the lengths of gaps and matches add up to the
 offsets. Patterns are possessive and start either where the last match ended or where no character
 of their first class stands before: the same matches as the plain forms, in linear time, and
-without deep recursion on very long runs.
+without deep recursion on very long runs. Of an account number only the beginning is matched; where
+it ends is tried at each end of a word, for a word or another number may follow in the same letters.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ PATTERNS = {
     "ip": r"(?:\G|(?<![0-9]))[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
     "card": r"(?:\G|(?<![0-9]))[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
-    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+(?![A-Za-z0-9])",
+    "iban": r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?=(?:\x20?[A-Z0-9]){11})",
 }
 NEEDS = {
     "email": r"@",
@@ -41,6 +42,15 @@ SCORE = {"email": 0.9, "ip": 0.6, "card": 0.8, "phone": 0.6, "iban": 0.9}
 BONUS = 0.1  # added where a context word is near
 NEAR = 40  # code points before and after a span that count as near
 BASE = ("email", "ip", "card", "phone")
+IBAN = r"^[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}+[A-Za-z0-9]?"  # the last: no end of a word yet
+IBAN_REACH = 65  # code points that this can match
+LENGTHS = (  # of account numbers, after their country
+    "AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BI27 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 "
+    "DO28 EE20 EG29 ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23 GL18 GR27 GT28 HN28 HR21 HU28 IE22 IL23 "
+    "IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 "
+    "MT31 MU30 NI28 NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 "
+    "SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30"
+)
 
 
 def _digits(value: Column) -> Column:
@@ -79,11 +89,58 @@ def _confirmed(kind: str, value: Column) -> Column:
         return F.when(digits.between(13, 19), luhn(_digits(value))).otherwise(False)
     if kind == "phone":
         return digits.between(9, 15)
-    if kind == "iban":
-        return mod97(value)
     return F.lit(True)
 
 
+def account(text: Column) -> Column:
+    """The account number that a text begins with, or null.
+
+    Every end of a word is tried that leaves 15 to 34 letters and digits, which mod 97 confirms. The
+    length of the country goes first, then the longest.
+    """
+    words = F.split(F.regexp_extract(text, IBAN, 0), " ")
+    heads = F.transform(
+        F.sequence(F.lit(1), F.size(words)), lambda n: F.array_join(F.slice(words, 1, n), " ")
+    )
+
+    def size(head: Column) -> Column:
+        return F.length(F.replace(head, F.lit(" "), F.lit("")))
+
+    valid = F.filter(
+        heads,
+        lambda h: F.when(size(h).between(15, 34) & ~h.rlike("[a-z]"), mod97(h)).otherwise(False),
+    )
+    listed = F.filter(
+        valid, lambda h: F.contains(F.lit(LENGTHS), F.concat(F.substring(h, 1, 2), size(h).cast("string")))
+    )
+    return F.coalesce(F.get(listed, F.lit(0)), F.get(valid, F.size(valid) - 1))
+
+
+def accounts(text: Column, heads: Column) -> Column:
+    """Account numbers of ``text`` among those that begin at ``heads``; of overlapping ones the first."""
+
+    def one(m: Column) -> Column:
+        value = account(F.substring(text, m["start"] + 1, F.lit(IBAN_REACH)))
+        return F.struct(
+            m["start"].alias("start"), (m["start"] + F.length(value)).alias("end"), value.alias("value")
+        )
+
+    start = F.struct(
+        F.lit(0).alias("at"),
+        F.expr("cast(array() as array<struct<start:int,end:int,value:string>>)").alias("out"),
+    )
+
+    def step(state: Column, m: Column) -> Column:
+        free = m["start"] >= state["at"]
+        return F.struct(
+            F.when(free, m["end"]).otherwise(state["at"]).alias("at"),
+            F.when(free, F.concat(state["out"], F.array(m))).otherwise(state["out"]).alias("out"),
+        )
+
+    found = F.filter(F.transform(heads, one), lambda m: m["value"].isNotNull())
+    return F.aggregate(found, start, step, lambda s: s["out"])
+
+
 def matches(text: Column, pattern: str, needs: str) -> Column:
     """All matches in order as array of (start, end, value); code points, end exclusive."""
     has = text.rlike(needs)
@@ -149,7 +206,7 @@ def find(docs: DataFrame, text: str = "text", spans: str = "spans") -> DataFrame
     )
     found = []
     for k in PATTERNS:
-        good = F.filter(f"_q_{k}", confirmed(k))
+        good = accounts(body, F.col("_q_iban")) if k == "iban" else F.filter(f"_q_{k}", confirmed(k))
         found.append(F.coalesce(F.transform(good, scored(k)), nothing))
     return out.select(
         *[c for c in docs.columns if c != spans], F.concat(*found).alias(spans)

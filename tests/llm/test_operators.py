@@ -185,6 +185,27 @@ def test_personal_data(spark):
     assert pii.redact(df).first().text == "[EMAIL][EMAIL] 1.2.3.999 [IP] x [CARD] [IBAN]"
 
 
+def test_account_numbers_before_other_words(spark):
+    de, spaced, gb = "DE89370400440532013000", "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
+    texts = {
+        f"{de} Bank": [de],
+        f"é {de} I paid": [de],
+        f"{spaced} BIC COBADEFF": [spaced],
+        f"{de} 4711": [de],
+        f"{de} IS THE ACCOUNT OF MY OLD BANK IN TOWN": [de],
+        f"{de} {gb}, {spaced}": [de, gb, spaced],
+        f"AB12 {de}": [de],
+        f"{de}x {de[:-1]}1 Bank": [],
+        "XX" + de[2:]: [],
+    }
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    for row in pii.find(df).collect():
+        spans = [s for s in row.spans if s.kind == "iban"]
+        assert [s.value for s in spans] == texts[row.text], row.text
+        assert all(row.text[s.start : s.end] == s.value for s in spans)
+    assert pii.redact(df).first().text == "[IBAN] Bank"
+
+
 def test_mixing_and_sharding(spark):
     rows = [(i, "a" if i % 3 else None, 1 + i % 7) for i in range(400)]
     df = spark.createDataFrame(rows, "doc_id long, source string, size long")
