@@ -3,16 +3,20 @@
 A worklist of layers starts with the text itself. Each layer is scanned; what in it is encoded by
 URL escapes, Unicode escapes, base64 or base64 of compressed bytes is decoded to a new layer that
 knows, for each of its characters, the place in the text that it came from. A layer seen before at
-the same place is not taken again, so the list ends even if something decodes to itself.
+the same place is not taken again, so the list ends even if something decodes to itself. Compressed
+bytes are inflated to their end, all members, in pieces that end where no match can go on; a piece
+without such an end, that is one very long run, is held as a whole.
 """
 
 from __future__ import annotations
 
 import base64
 import bz2
+import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import Column
@@ -33,8 +37,13 @@ VALUE = 12  # least characters of an assigned value
 
 URL = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 UNICODE = re.compile(r"(?:\\u[0-9A-Fa-f]{4}|\\x[0-9A-Fa-f]{2})+")
-BASE64 = re.compile(r"(?:[A-Za-z0-9+/]{16,}|[A-Za-z0-9_-]{16,})={0,2}")
-INFLATED = 1 << 26  # bytes; a compressed layer beyond this is no text but an attack on memory
+BASE64 = (  # both alphabets; a run that mixes them is split by each
+    re.compile(r"[A-Za-z0-9+/]{16,}={0,2}"),
+    re.compile(r"[A-Za-z0-9_-]{16,}={0,2}"),
+)
+CHUNK = 1 << 20  # bytes inflated at once
+# The last place where no match of any pattern, in this layer or a nested one, can go on.
+END = re.compile(rb"""(?s:.*)[^A-Za-z0-9+/_.=%\\:"'\x20\x80-\xff-]""")
 
 SPANS = "array<struct<kind:string,start:int,end:int,base:boolean>>"
 
@@ -48,18 +57,30 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
 
 
 class Layer:
-    """A text whose character i comes from lo[i]:hi[i] of the root; the root needs no lists."""
+    """A text whose character i comes from lo[i]:hi[i] of the root, or all of it from ``place``.
+
+    The root has neither.
+    """
 
-    def __init__(self, text: str, lo: list[int] | None = None, hi: list[int] | None = None):
-        self.text, self.lo, self.hi = text, lo, hi
+    def __init__(
+        self,
+        text: str,
+        lo: list[int] | None = None,
+        hi: list[int] | None = None,
+        place: tuple[int, int] | None = None,
+    ):
+        self.text, self.lo, self.hi, self.place = text, lo, hi, place
 
     def at(self, start: int, end: int) -> tuple[int, int]:
+        if self.place is not None:
+            return self.place
         if self.lo is None:
             return start, end
         return min(self.lo[start:end]), max(self.hi[start:end])
 
-    def key(self) -> tuple[int, int, str]:
-        return (*self.at(0, len(self.text)), self.text)
+    def key(self) -> tuple[int, int, bytes]:
+        data = self.text.encode("utf-8", "surrogatepass")
+        return (*self.at(0, len(self.text)), hashlib.blake2b(data).digest())
 
 
 def _utf8(data: bytes) -> list[tuple[str, int, int]] | None:
@@ -104,6 +125,8 @@ def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
         text.append(layer.text[i])
         lo.append(a)
         hi.append(b)
+    if layer.place is not None:
+        return Layer("".join(text), place=layer.place)
     return Layer("".join(text), lo, hi)
 
 
@@ -127,49 +150,116 @@ def _unicode(match: str) -> list[tuple[str, int, int]] | None:
     return out
 
 
-def _unpacked(data: bytes) -> bytes | None:
-    """Inflated bytes if these are compressed, else None."""
+def _inflater(data: bytes):
+    """What inflates these bytes, if they begin like compressed ones, else None."""
+    if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and int.from_bytes(data[:2], "big") % 31 == 0:
+        return zlib.decompressobj(47)
+    return bz2.BZ2Decompressor() if data[:3] == b"BZh" else None
+
+
+def _opens(data: bytes) -> bool:
+    """Whether compressed bytes begin here."""
+    inflater = _inflater(data)
+    if inflater is None:
+        return False
     try:
-        if data[:2] == b"\x1f\x8b" or data[:1] == b"\x78" and int.from_bytes(data[:2], "big") % 31 == 0:
-            return zlib.decompressobj(47).decompress(data, INFLATED)
-        if data[:3] == b"BZh":
-            return bz2.BZ2Decompressor().decompress(data, INFLATED)
+        return bool(inflater.decompress(data, CHUNK)) or inflater.eof
     except (zlib.error, OSError, EOFError):
-        pass
-    return None
+        return False
+
+
+def _members(data: bytes) -> Iterator[bytes]:
+    """Inflated bytes of all members; what follows them and is not compressed comes as it is.
+
+    Of a broken member there is what comes before the fault.
+    """
+    while data:
+        if not _opens(data):
+            rest = data.lstrip(b"\0")
+            if len(rest) < len(data) and _opens(rest):  # members may be padded
+                data = rest
+                continue
+            yield b"\n" + data
+            return
+        inflater, rest = _inflater(data), data
+        try:
+            while not inflater.eof:
+                chunk = inflater.decompress(rest, CHUNK)
+                rest = getattr(inflater, "unconsumed_tail", b"")
+                if chunk:
+                    yield chunk
+                elif not rest and getattr(inflater, "needs_input", True):
+                    break
+        except (zlib.error, OSError, EOFError):
+            return
+        data = inflater.unused_data
+
+
+def _inflated(data: bytes) -> Iterator[bytes]:
+    """Compressed bytes inflated until they are not compressed any more, or repeat."""
+    seen = set()
+    while (key := hashlib.blake2b(data).digest()) not in seen:
+        seen.add(key)
+        chunks = _members(data)
+        first = next(chunks, b"")
+        if not _opens(first):
+            yield from chain([first], chunks)
+            return
+        data = b"".join(chain([first], chunks))
+
+
+def _pieces(chunks: Iterable[bytes]) -> Iterator[bytes]:
+    """The same bytes, cut only where no match can go on."""
+    held = []
+    for chunk in chunks:
+        end = END.match(chunk)
+        if end is None:
+            held.append(chunk)
+            continue
+        yield b"".join([*held, end.group()])
+        held = [chunk[end.end() :]]
+    yield b"".join(held)
 
 
 def _base64(layer: Layer) -> Iterator[Layer]:
-    for m in BASE64.finditer(layer.text):
-        body = m.group().rstrip("=")
+    for start, end in sorted({m.span() for p in BASE64 for m in p.finditer(layer.text)}):
+        body = layer.text[start:end].rstrip("=")
         if len(body) % 4 == 1:
             body = body[:-1]
         data = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
-        whole = layer.at(m.start(), m.end())
-        depth = 0
-        while (inner := _unpacked(data)) is not None and inner != data and depth < 64:
-            data, depth = inner, depth + 1
-        chars = _utf8(data)
-        if not chars:
+        if _opens(data):
+            whole = layer.at(start, end)
+            for piece in _pieces(_inflated(data)):
+                chars = _utf8(piece)
+                if chars:
+                    yield Layer("".join(c for c, _, _ in chars), place=whole)
             continue
-        if depth:
-            lo, hi = [whole[0]] * len(chars), [whole[1]] * len(chars)
-        else:  # byte i comes from the characters that hold its bits
-            places = [
-                layer.at(m.start() + i * 8 // 6, m.start() + (j * 8 - 1) // 6 + 1) for _, i, j in chars
-            ]
-            lo, hi = [p[0] for p in places], [p[1] for p in places]
-        yield Layer("".join(c for c, _, _ in chars), lo, hi)
+        chars = _utf8(data)
+        if chars:  # byte i comes from the characters that hold its bits
+            places = [layer.at(start + i * 8 // 6, start + (j * 8 - 1) // 6 + 1) for _, i, j in chars]
+            yield Layer("".join(c for c, _, _ in chars), [p[0] for p in places], [p[1] for p in places])
+
+
+def _inside(layer: Layer) -> Iterator[Layer]:
+    """The layers encoded in one, as they are asked for."""
+    for sign, pattern, decode in (("%", URL, _url), ("\\", UNICODE, _unicode)):
+        inner = _replaced(layer, pattern, decode) if sign in layer.text else None
+        if inner is not None and inner.text:
+            yield inner
+    yield from _base64(layer)
 
 
 def scan(text: str) -> list[tuple[str, int, int, bool]]:
     """(kind, start, end, base) by start, then kind: base spans and those of decoded layers."""
     base = base_spans(text)
     found = {s: True for s in base}
-    work, seen = [Layer(text)], set()
+    work, seen = [iter([Layer(text)])], set()
     while work:
-        layer = work.pop()
-        if layer.lo is not None:
+        layer = next(work[-1], None)
+        if layer is None:
+            work.pop()
+            continue
+        if layer.lo is not None or layer.place is not None:
             key = layer.key()
             if key in seen:
                 continue
@@ -177,12 +267,7 @@ def scan(text: str) -> list[tuple[str, int, int, bool]]:
             for start, kind, end in base_spans(layer.text):
                 a, b = layer.at(start, end)
                 found.setdefault((a, kind, b), False)
-        if "%" in layer.text:
-            work.append(_replaced(layer, URL, _url))
-        if "\\" in layer.text:
-            work.append(_replaced(layer, UNICODE, _unicode))
-        work += _base64(layer)
-        work = [x for x in work if x is not None and x.text]
+        work.append(_inside(layer))
     return [(KINDS[k], a, b, found[a, k, b]) for a, k, b in sorted(found)]
 
 

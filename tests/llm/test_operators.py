@@ -63,6 +63,28 @@ def test_secrets_in_layers():
     assert secret_scan.scan("token: secret: abcdefghijklmnop") == []
 
 
+def test_secrets_in_whole_layers():
+    import base64
+    import bz2
+    import gzip
+
+    random = np.random.default_rng(7)
+    inner = b'password = "Zq8Kp2Lm9Rt4Wx"'
+    noise = bytes(random.integers(33, 127, 3000, dtype=np.uint8)).replace(b"=", b",")
+    layers = [
+        base64.urlsafe_b64encode(gzip.compress(noise + b"\n" + inner)),
+        base64.b64encode(gzip.compress(b"first\n") + gzip.compress(inner)),
+        base64.b64encode(bz2.compress(b"first\n") + bz2.compress(inner)),
+        base64.b64encode(gzip.compress("é".encode() * (1 << 20) + b"x" * 3 + (b"a b\n" * (1 << 24)) + inner)),
+    ]
+    deep = inner
+    for _ in range(80):
+        deep = gzip.compress(deep)
+    for data in [*layers, base64.b64encode(deep)]:
+        found = secret_scan.scan(f"see {data.decode()} end")
+        assert ("assign", 4, 4 + len(data), False) in found
+
+
 def test_forward_backward_equals_enumeration():
     random = np.random.default_rng(1)
     emission, move = random.normal(size=300), random.normal(size=(2, 2))
