@@ -2,7 +2,8 @@
 
 A worklist of layers starts with the text itself. Each layer is scanned; what in it is encoded by
 URL escapes, Unicode escapes, base64 or base64 of compressed bytes is decoded to a new layer that
-knows, for each of its characters, the place in the text that it came from. A layer seen before at
+knows, for each of its characters, the place in the text that it came from. Bytes that are no UTF-8
+become placeholders, one for each, and other characters of any kind stay. A layer seen before at
 the same place is not taken again, so the list ends even if something decodes to itself. Compressed
 bytes are inflated to their end, all members, in pieces that end where no match can go on; a piece
 without such an end, that is one very long run, is held as a whole.
@@ -42,6 +43,9 @@ BASE64 = (  # both alphabets; a run that mixes them is split by each
     re.compile(r"[A-Za-z0-9_-]{16,}={0,2}"),
 )
 CHUNK = 1 << 20  # bytes inflated at once
+# What any secret has, also one encoded once more: as many of these as a value has characters.
+LONG = re.compile(rb"[A-Za-z0-9+/_.=%\\-]{12}")
+PLACEHOLDER = "\ufffd"
 # The last place where no match of any pattern, in this layer or a nested one, can go on.
 END = re.compile(rb"""(?s:.*)[^A-Za-z0-9+/_.=%\\:"'\x20\x80-\xff-]""")
 
@@ -83,17 +87,16 @@ class Layer:
         return (*self.at(0, len(self.text)), hashlib.blake2b(data).digest())
 
 
-def _utf8(data: bytes) -> list[tuple[str, int, int]] | None:
-    """Characters with their byte ranges; None if the bytes are no readable text."""
-    try:
-        text = data.decode("utf-8")
-    except UnicodeDecodeError:
-        return None
-    if not all(c.isprintable() or c in "\t\n\r" for c in text):
-        return None
+def _utf8(data: bytes) -> list[tuple[str, int, int]]:
+    """Characters with their byte ranges; a byte that is no part of one is a placeholder."""
+    if data.isascii():
+        return [(c, i, i + 1) for i, c in enumerate(data.decode("ascii"))]
     out, at = [], 0
-    for c in text:
-        n = len(c.encode("utf-8"))
+    for c in data.decode("utf-8", "surrogateescape"):
+        if "\ud800" <= c < "\ue000":
+            c, n = PLACEHOLDER, 1
+        else:
+            n = len(c.encode("utf-8"))
         out.append((c, at, at + n))
         at += n
     return out
@@ -103,16 +106,13 @@ def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     """The layer with each match decoded where it stands; None if nothing changes."""
     text, lo, hi, last, changed = [], [], [], 0, False
     for m in pattern.finditer(layer.text):
-        chars = decode(m.group())
-        if chars is None:
-            continue
         changed = True
         for i in range(last, m.start()):
             a, b = layer.at(i, i + 1)
             text.append(layer.text[i])
             lo.append(a)
             hi.append(b)
-        for c, i, j in chars:
+        for c, i, j in decode(m.group()):
             a, b = layer.at(m.start() + i, m.start() + j)
             text.append(c)
             lo.append(a)
@@ -130,12 +130,11 @@ def _replaced(layer: Layer, pattern: re.Pattern, decode) -> Layer | None:
     return Layer("".join(text), lo, hi)
 
 
-def _url(match: str) -> list[tuple[str, int, int]] | None:
-    chars = _utf8(bytes.fromhex(match.replace("%", "")))
-    return chars and [(c, 3 * i, 3 * j) for c, i, j in chars]
+def _url(match: str) -> list[tuple[str, int, int]]:
+    return [(c, 3 * i, 3 * j) for c, i, j in _utf8(bytes.fromhex(match.replace("%", "")))]
 
 
-def _unicode(match: str) -> list[tuple[str, int, int]] | None:
+def _unicode(match: str) -> list[tuple[str, int, int]]:
     out, at = [], 0
     for part in re.findall(r"\\u....|\\x..", match):
         code = int(part[2:], 16)
@@ -145,9 +144,7 @@ def _unicode(match: str) -> list[tuple[str, int, int]] | None:
         else:
             out.append((chr(code), at, at + len(part)))
         at += len(part)
-    if any("\ud800" <= c < "" for c, _, _ in out):
-        return None
-    return out
+    return [(PLACEHOLDER if "\ud800" <= c < "\ue000" else c, i, j) for c, i, j in out]
 
 
 def _inflater(data: bytes):
@@ -230,12 +227,10 @@ def _base64(layer: Layer) -> Iterator[Layer]:
         if _opens(data):
             whole = layer.at(start, end)
             for piece in _pieces(_inflated(data)):
-                chars = _utf8(piece)
-                if chars:
-                    yield Layer("".join(c for c, _, _ in chars), place=whole)
-            continue
-        chars = _utf8(data)
-        if chars:  # byte i comes from the characters that hold its bits
+                if LONG.search(piece):
+                    yield Layer(piece.decode("utf-8", "replace"), place=whole)
+        elif LONG.search(data):  # byte i comes from the characters that hold its bits
+            chars = _utf8(data)
             places = [layer.at(start + i * 8 // 6, start + (j * 8 - 1) // 6 + 1) for _, i, j in chars]
             yield Layer("".join(c for c, _, _ in chars), [p[0] for p in places], [p[1] for p in places])
 

@@ -85,6 +85,26 @@ def test_secrets_in_whole_layers():
         assert ("assign", 4, 4 + len(data), False) in found
 
 
+def test_secrets_beside_odd_characters():
+    import base64
+    import gzip
+
+    inner = 'password = "Zq8Kp2Lm9Rt4Wx"'
+    for odd in ("\xa0", "\u200d", "\xad", "\ufeff", "\f", "\x00"):
+        data = f"{odd}prose {inner} {odd}".encode()
+        at = (len(odd.encode()) + 6) * 8 // 6
+        found = secret_scan.scan(f"see {base64.b64encode(data).decode()} end")
+        assert [(k, a) for k, a, _, base in found if not base] == [("assign", 4 + at)]
+        nested = base64.b64encode(gzip.compress(data)).decode()
+        assert [s[0] for s in secret_scan.scan(nested) if not s[3]] == ["assign"]
+    data = b"caf\xe9 " + inner.encode() + b" \xff"
+    place = (5 * 8 // 6, ((5 + len(inner) - 1) * 8 - 1) // 6 + 1)  # the value's last quote is no part
+    assert ("assign", *place, False) in secret_scan.scan(base64.b64encode(data).decode())
+    url = "".join(f"%{b:02x}" for b in data)
+    assert ("assign", 15, 15 + 3 * (len(inner) - 1), False) in secret_scan.scan(url)
+    assert any(s[0] == "assign" for s in secret_scan.scan("\\ud800" + "".join(f"\\u{ord(c):04x}" for c in inner)))
+
+
 def test_forward_backward_equals_enumeration():
     random = np.random.default_rng(1)
     emission, move = random.normal(size=300), random.normal(size=(2, 2))
