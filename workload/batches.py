@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from lakemart.functions.columns import event_date, restate_cancelled
-from lakemart.operators import batches, crosswalk
+from lakemart.operators import batches, crosswalk, integrity
 from lakemart.operators.quarantine import QUARANTINED_AT, accepted, rejected
 from lakemart.plans import marts, silver
 from lakemart.session import work_path
@@ -14,7 +14,7 @@ from lakemart.sinks.quarantine import defect_audit, read_quarantine
 from lakemart.sources.tables import read_path, read_silver
 from workload.marts import CUSTOMER, daily_sql
 from workload.oracle_roles import SILVER, with_roles
-from workload.roles import customers, loads, raw, scans, table, trips
+from workload.roles import customers, loads, raw, scans, table, trips, typed
 
 
 def _classified(spark, sf_dir, *names):
@@ -103,6 +103,36 @@ def silver_counts(spark, sf_dir):
     return report.drop("processed_at_utc")
 
 
+def quarantine_audit_all(spark, sf_dir):
+    """Rejected rows of all eight tables by reason."""
+    lake, _ = _published(spark, sf_dir)
+    return defect_audit(read_quarantine(spark, f"{lake}/quarantine", tuple(silver.SPECS)))
+
+
+def silver_counts_all(spark, sf_dir):
+    """Silver rows of all eight tables."""
+    return silver.silver_report(_published(spark, sf_dir)[1]).drop("processed_at_utc")
+
+
+def orphan_profile_all(spark, sf_dir):
+    """Every foreign key of the model: arrived children against the Silver parents."""
+    lake, _ = _published(spark, sf_dir)
+    children = typed(spark, sf_dir)
+    return batches.union_batches(
+        *[
+            integrity.orphan_profile(
+                children[n], e.column, read_silver(spark, lake, e.parent), e.parent_column, _edge(n, e)
+            )
+            for n, spec in silver.SPECS.items()
+            for e in spec.foreign_keys
+        ]
+    )
+
+
+def _edge(child, e):
+    return f"{e.parent}.{e.parent_column} -> {child}.{e.column}"
+
+
 def conservation(spark, sf_dir):
     """Every load is in Silver, in quarantine or superseded; the batch arrives twice."""
     arrived = raw(spark, sf_dir, *LOAD_TABLES)
@@ -262,6 +292,9 @@ QUERIES = {
         silver_job,
         quarantine_audit,
         silver_counts,
+        quarantine_audit_all,
+        silver_counts_all,
+        orphan_profile_all,
         conservation,
         correction_restatement,
         redelivery_idempotent,
@@ -305,6 +338,33 @@ ORACLE["silver_counts"] = with_roles(
         for n in TRIP_TABLES
     )
 )
+ORACLE["quarantine_audit_all"] = with_roles(
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, quarantine_reason AS issue_type, "
+        f"count(*) AS affected_count FROM classified_{n} "
+        "WHERE quarantine_reason IS NOT NULL GROUP BY 2"
+        for n in SILVER
+    )
+)
+ORACLE["silver_counts_all"] = with_roles(
+    " UNION ALL ".join(
+        f"SELECT '{n}' AS table_name, count(*) AS silver_row_count FROM silver_{n}" for n in SILVER
+    )
+)
+ORACLE["orphan_profile_all"] = with_roles(
+    " UNION ALL ".join(
+        f"""
+        SELECT '{_edge(n, e)}' AS relationship,
+               count(DISTINCT c.{e.column}) FILTER (WHERE p.k IS NULL) AS orphan_values,
+               count(c.{e.column}) AS non_null_rows,
+               CASE WHEN count(c.{e.column}) FILTER (WHERE p.k IS NULL) = 0
+                    THEN 'PASS' ELSE 'WARNING' END AS status
+        FROM {n} c LEFT JOIN (SELECT DISTINCT {e.parent_column} AS k FROM silver_{e.parent}) p
+             ON c.{e.column} = p.k"""
+        for n, spec in silver.SPECS.items()
+        for e in spec.foreign_keys
+    )
+)
 ORACLE["conservation"] = with_roles(
     """SELECT 'loads' AS table_name, 2 * count(*) AS bronze_rows,
            count(*) FILTER (WHERE quarantine_reason IS NULL) AS silver_rows,

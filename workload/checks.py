@@ -117,6 +117,28 @@ def row_count_check(spark, sf_dir):
     return profiles.row_count_check({n: found[n] for n in keys}, expected)
 
 
+KEY_RANGES = {
+    "customer": "c_custkey",
+    "supplier": "s_suppkey",
+    "part": "p_partkey",
+    "orders": "o_orderkey",
+    "lineitem": "l_orderkey",
+    "events": "event_id",
+}
+
+
+def row_count_check_all(spark, sf_dir):
+    """The same for every table."""
+    found = _all(spark, sf_dir)
+    expected = union_batches(
+        *[
+            found[n].agg((F.max(k) + 1).alias("expected_rows")).withColumn("table_name", F.lit(n))
+            for n, k in KEY_RANGES.items()
+        ]
+    )
+    return profiles.row_count_check(found, expected)
+
+
 def row_counts(spark, sf_dir):
     return profiles.row_counts(_all(spark, sf_dir))
 
@@ -158,6 +180,7 @@ QUERIES = {
         batch_gate,
         rule_violations,
         row_count_check,
+        row_count_check_all,
         row_counts,
         duplicate_profile,
         frequency_profile,
@@ -348,6 +371,13 @@ ORACLE = {
         FROM {n}"""
         for n, k in (("customer", "c_custkey"), ("orders", "o_orderkey"), ("lineitem", "l_orderkey"))
     ),
+    "row_count_check_all": " UNION ALL ".join(
+        f"""
+        SELECT '{n}' AS table_name, count(*) AS row_count, max({k}) + 1 AS expected_rows,
+               CASE WHEN count(*) = max({k}) + 1 THEN 'PASS' ELSE 'FAIL' END AS status
+        FROM {n}"""
+        for n, k in KEY_RANGES.items()
+    ),
     "row_counts": " UNION ALL ".join(
         f"SELECT '{n}' AS table_name, count(*) AS row_count FROM {n}" for n in TABLES
     ),
