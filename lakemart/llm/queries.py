@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lakemart.llm import ann, bpe, jaccard, mixing, pii, quality, secret_scan, sharding, suffix, toxicity
+from lakemart.llm import ann, bpe, infill, jaccard, mixing, pii, quality, secret_scan, sharding, suffix, toxicity
 from lakemart.llm.common import table, written
 
 WORD = r"[^\x20\x09-\x0D]+"  # fixed value: what the contracts call a word
@@ -140,6 +140,54 @@ def op10_checked_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_wavelet_fim(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text cut at lines and rearranged for filling in the middle, and rebuilt."""
+    made = infill.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        F.sha2(F.col("output").cast("binary"), 256).alias("output_sha256"),
+        F.sha2(infill.restored(F.col("output"), F.col("form")).cast("binary"), 256).alias(
+            "restored_sha256"
+        ),
+    )
+
+
+OP11_SQL = r"""
+WITH lines AS (
+    SELECT doc_id, coalesce(text, '') AS whole,
+           regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS unit,
+           sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h
+    FROM documents
+), drawn AS (
+    SELECT doc_id, whole, unit, CAST(len(unit) AS BIGINT) AS n,
+           CAST('0x' || h[1:8] AS BIGINT) AS h1, CAST('0x' || h[9:16] AS BIGINT) AS h2,
+           CAST('0x' || h[25:32] AS BIGINT) AS h4
+    FROM lines
+), cut AS (
+    SELECT doc_id, whole, n,
+           CASE WHEN whole = '' OR contains(whole, '<P>') OR contains(whole, '<S>')
+                     OR contains(whole, '<M>') THEN 'plain'
+                WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form,
+           array_to_string(unit[1:least(h1 % (n + 1), h2 % (n + 1))], '') AS p,
+           array_to_string(unit[least(h1 % (n + 1), h2 % (n + 1)) + 1:
+                                greatest(h1 % (n + 1), h2 % (n + 1))], '') AS m,
+           array_to_string(unit[greatest(h1 % (n + 1), h2 % (n + 1)) + 1:], '') AS s
+    FROM drawn
+)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN CAST(length(p) AS BIGINT) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN CAST(length(m) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN whole
+                        WHEN 'psm' THEN '<P>' || p || '<S>' || s || '<M>' || m
+                        ELSE '<S>' || s || '<P>' || p || '<M>' || m END) AS output_sha256,
+       sha256(whole) AS restored_sha256
+FROM cut
+"""
+
 QUERIES = {
     "op1_crf_toxicity": op1_crf_toxicity,
     "op2_tree_bpe": op2_tree_bpe,
@@ -151,5 +199,6 @@ QUERIES = {
     "op8_signature_join": op8_signature_join,
     "op9_quality_forest": op9_quality_forest,
     "op10_checked_pii": op10_checked_pii,
+    "op11_wavelet_fim": op11_wavelet_fim,
 }
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op11_wavelet_fim": OP11_SQL}
