@@ -52,7 +52,7 @@ def test_query_equals_sql(spark, duck, name):
 
 
 def test_every_query_has_an_oracle():
-    assert set(contract.oracle_sql()) == OWN
+    assert set(contract.oracle_sql()) >= OWN
 
 
 def test_entry(spark):
