@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lakemart.llm import ann, bpe, infill, jaccard, mixing, pii, quality, secret_scan, sharding, suffix, toxicity
+from lakemart.llm import ann, bpe, infill, jaccard, merkle, mixing, pii, quality, secret_scan, sharding, suffix, toxicity
 from lakemart.llm.common import table, written
 
 WORD = r"[^\x20\x09-\x0D]+"  # fixed value: what the contracts call a word
@@ -188,6 +188,93 @@ SELECT doc_id, n, form,
 FROM cut
 """
 
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The root of all documents, each one's proof, and whether it holds for the row as found."""
+    docs = table(spark, sf_dir, "documents")
+    columns = ["doc_id", "source", "lang", "n_chars", "text"]
+    found = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    changed = [F.col(c) + 1 if c == "n_chars" else F.col(c) for c in columns]
+    tampered = F.when(found & F.col("n_chars").isNotNull(), merkle.leaf(changed))
+    manifest = merkle.Manifest(docs, columns, extra=tampered)
+    return manifest.finished(merkle.CHECKED, merkle.checked)
+
+
+OP12_SQL = r"""
+WITH RECURSIVE crc_steps AS (
+    SELECT i, 0 AS k, i AS v FROM range(256) r(i)
+    UNION ALL
+    SELECT i, k + 1, xor(v >> 1, CASE WHEN v % 2 = 1 THEN 3988292384 ELSE 0 END)
+    FROM crc_steps WHERE k < 8
+), crc_table AS (
+    SELECT list(v ORDER BY i) AS v FROM crc_steps WHERE k = 8
+), leaves AS (
+    SELECT doc_id, lang, n_chars, p, t,
+           xor(4294967295, list_reduce(
+               list_prepend(CAST(4294967295 AS BIGINT),
+                            list_transform(string_split(CAST(doc_id AS VARCHAR), ''),
+                                           lambda x: CAST(ascii(x) AS BIGINT))),
+               lambda c, b: xor(c >> 8, crc_of[xor(c, b) % 256 + 1]))) AS crc,
+           sha256(concat(p, coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-'), t)) AS leaf,
+           row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST) - 1 AS place,
+           count(*) OVER (PARTITION BY lang) AS n
+    FROM (SELECT doc_id, lang, n_chars,
+                 coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-')
+                 || coalesce(strlen(source) || ':' || source, '-')
+                 || coalesce(strlen(lang) || ':' || lang, '-') AS p,
+                 coalesce(strlen(text) || ':' || text, '-') AS t,
+                 (SELECT v FROM crc_table) AS crc_of
+          FROM documents)
+), nodes AS (
+    SELECT lang, 0 AS level, place, n, leaf AS node FROM leaves
+    UNION ALL
+    SELECT lang, level + 1, place // 2, max(n + 1) // 2, sha256(string_agg(node, '' ORDER BY place))
+    FROM nodes WHERE n > 1 GROUP BY lang, level, place // 2
+), subroots AS (
+    SELECT lang, node AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS place,
+           count(*) OVER () AS n
+    FROM nodes WHERE n = 1
+), tops AS (
+    SELECT 0 AS level, place, n, subroot AS node FROM subroots
+    UNION ALL
+    SELECT level + 1, place // 2, max(n + 1) // 2, sha256(string_agg(node, '' ORDER BY place))
+    FROM tops WHERE n > 1 GROUP BY level, place // 2
+), steps AS (
+    SELECT l.lang, l.place, x.level, x.node, x.place % 2 AS right_side
+    FROM leaves l JOIN nodes x
+      ON x.lang IS NOT DISTINCT FROM l.lang AND x.n > 1 AND x.place = xor(l.place >> x.level, 1)
+    UNION ALL
+    SELECT l.lang, l.place, 1000 + x.level, x.node, x.place % 2
+    FROM leaves l JOIN subroots s ON s.lang IS NOT DISTINCT FROM l.lang
+    JOIN tops x ON x.n > 1 AND x.place = xor(s.place >> x.level, 1)
+), alone AS (
+    SELECT l.lang, l.place, x.level, '' AS node, 1 AS right_side
+    FROM leaves l JOIN nodes x
+      ON x.lang IS NOT DISTINCT FROM l.lang AND x.n > 1 AND x.place = l.place >> x.level
+     AND x.place = x.n - 1 AND x.place % 2 = 0
+    UNION ALL
+    SELECT l.lang, l.place, 1000 + x.level, '', 1
+    FROM leaves l JOIN subroots s ON s.lang IS NOT DISTINCT FROM l.lang
+    JOIN tops x ON x.n > 1 AND x.place = s.place >> x.level AND x.place = x.n - 1 AND x.place % 2 = 0
+), paths AS (
+    SELECT lang, place, string_agg(node, '' ORDER BY level) AS siblings,
+           list(CASE WHEN right_side = 1 THEN 'R' ELSE 'L' END || node ORDER BY level) AS sides
+    FROM (SELECT * FROM steps UNION ALL SELECT * FROM alone) GROUP BY lang, place
+), found AS (
+    SELECT l.doc_id, l.leaf, s.subroot, (SELECT node FROM tops WHERE n = 1) AS root,
+           sha256(coalesce(p.siblings, '')) AS proof_sha256,
+           list_reduce(
+               list_prepend(
+                   CASE WHEN l.crc % 7 = 0 AND l.n_chars IS NOT NULL
+                        THEN sha256(concat(l.p, strlen(CAST(l.n_chars + 1 AS VARCHAR)), ':', l.n_chars + 1, l.t))
+                        ELSE l.leaf END,
+                   coalesce(p.sides, [])),
+               lambda a, b: sha256(CASE WHEN b[1] = 'L' THEN b[2:] || a ELSE a || b[2:] END)) AS folded_root
+    FROM leaves l JOIN subroots s ON s.lang IS NOT DISTINCT FROM l.lang
+    LEFT JOIN paths p ON p.lang IS NOT DISTINCT FROM l.lang AND p.place = l.place
+)
+SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM found
+"""
+
 QUERIES = {
     "op1_crf_toxicity": op1_crf_toxicity,
     "op2_tree_bpe": op2_tree_bpe,
@@ -200,5 +287,6 @@ QUERIES = {
     "op9_quality_forest": op9_quality_forest,
     "op10_checked_pii": op10_checked_pii,
     "op11_wavelet_fim": op11_wavelet_fim,
+    "op12_merkle_manifest": op12_merkle_manifest,
 }
-ORACLE: dict[str, str] = {"op11_wavelet_fim": OP11_SQL}
+ORACLE: dict[str, str] = {"op11_wavelet_fim": OP11_SQL, "op12_merkle_manifest": OP12_SQL}
