@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 import public_tokenizers
 
-from lakemart.llm import ann, bpe, infill, jaccard, merkle, mixing, pii, quality, secret_scan, sharding, suffix, toxicity
+from lakemart.llm import ann, bpe, infill, jaccard, language, merkle, mixing, pii, quality, secret_scan, sharding, suffix, toxicity
 from lakemart.llm.common import table, written
 
 WORD = r"[^\x20\x09-\x0D]+"  # fixed value: what the contracts call a word
@@ -275,6 +275,19 @@ WITH RECURSIVE crc_steps AS (
 SELECT doc_id, leaf, subroot, root, proof_sha256, folded_root, folded_root = root AS verified FROM found
 """
 
+def op13_marginal_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every whole text; a quarter of the ids is held out from learning."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = F.coalesce(
+        F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False)
+    )
+    model = language.train(docs.where(~held_out), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    found = docs.select(
+        "doc_id", held_out.alias("held_out"), language.predict(spark, model, "text").alias("p")
+    )
+    return found.select("doc_id", "held_out", "p.lang_pred", "p.score")
+
+
 QUERIES = {
     "op1_crf_toxicity": op1_crf_toxicity,
     "op2_tree_bpe": op2_tree_bpe,
@@ -288,5 +301,6 @@ QUERIES = {
     "op10_checked_pii": op10_checked_pii,
     "op11_wavelet_fim": op11_wavelet_fim,
     "op12_merkle_manifest": op12_merkle_manifest,
+    "op13_marginal_language": op13_marginal_language,
 }
 ORACLE: dict[str, str] = {"op11_wavelet_fim": OP11_SQL, "op12_merkle_manifest": OP12_SQL}
