@@ -324,19 +324,25 @@ def train(docs: DataFrame, labels: DataFrame, usable: Column) -> Field:
     """The field fitted on labelled rows of ``docs`` (doc_id, text) for which ``usable`` holds.
 
     At most TOXIC_ROWS and CLEAN_ROWS rows of texts up to FIT_CHARS are taken, the first by a hash
-    of the text, so the fit is bounded and does not depend on partitioning. Null labels, ids and
-    texts take no part.
+    of the text, so the fit is bounded and does not depend on partitioning. They are chosen on ids
+    and hashes; no other text is shuffled or sent to the driver. Null labels, ids and texts take no
+    part.
     """
-    known = (
-        docs.where(usable & F.col("text").isNotNull() & (F.length("text") <= FIT_CHARS))
-        .join(labels.select("doc_id", "toxic").dropna().distinct(), "doc_id")
-        .select("text", "toxic", F.xxhash64(F.lit(3), "text").alias("h"))
+    text = docs.where(usable & F.col("text").isNotNull() & (F.length("text") <= FIT_CHARS))
+    named = text.select("doc_id", F.xxhash64(F.lit(3), "text").alias("h"), "text")
+    known = named.select("doc_id", "h").join(labels.select("doc_id", "toxic").dropna().distinct(), "doc_id")
+    # The rows are chosen by their names; only the texts of those chosen are read then.
+    chosen = pd.concat(
+        [
+            known.where(F.col("toxic") == kind).orderBy("h", "doc_id").limit(rows).toPandas()
+            for kind, rows in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))
+        ]
     )
-    parts = [
-        known.where(F.col("toxic") == kind).orderBy("h", "text").limit(rows).toPandas()
-        for kind, rows in ((1, TOXIC_ROWS), (0, CLEAN_ROWS))
-    ]
-    rows = pd.concat(parts)
+    if chosen.empty:
+        return fit([], [])
+    names = docs.sparkSession.createDataFrame(chosen[["doc_id", "h"]].drop_duplicates())
+    texts = named.join(F.broadcast(names), ["doc_id", "h"]).toPandas().drop_duplicates(["doc_id", "h"])
+    rows = chosen.merge(texts, on=["doc_id", "h"]).sort_values(["toxic", "h", "text"], ascending=[False, True, True])
     return fit(list(rows.text), [t == 1 for t in rows.toxic])
 
 
