@@ -25,6 +25,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Deletes the files of a ``written`` table that nothing reads any more."""
+    files = df.inputFiles()
+    if files:
+        context = df.sparkSession.sparkContext
+        folder = context._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+        folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def unit(*columns: Column | str) -> Column:
     """A deterministic uniform number in [0, 1) from the given values."""
     return F.shiftrightunsigned(F.xxhash64(*columns), 11) * F.lit(2.0**-53)

@@ -5,13 +5,16 @@ cut by hash into D + 1 parts, agree in one part at least, and few others agree i
 from the threshold and the sizes, so sizes are banded; a set near the upper end of its band is also
 put in the next. A part shared by many is never turned into all of its pairs:
 
-1. Each class is compared with one representative of each of its parts, and components are formed.
-   Most parts then lie within one component, and nothing more can come of them.
-2. In the parts left, signature trees are built over bounded blocks of members. Nodes hold the OR
-   of token bitmaps and the range of sizes; two trees are descended together, and a pair of nodes
+1. Each class is paired with one representative of each of its parts. Signatures bound what the
+   two can share; of the pairs they leave, the most promising of each class is compared exactly, and
+   components are formed. Most parts then lie within one component, and nothing more can come of
+   them.
+2. The parts left are cut into bounded blocks, over which signature trees are built. Nodes hold the
+   OR of token bitmaps and the range of sizes; two trees are descended together, and a pair of nodes
    is left out if its greatest possible overlap is below what the least sizes ask for, or if it
-   holds one component only. Pairs of rows that remain are compared by halves of their hashes, and
-   what then remains exactly.
+   holds one component only. Blocks carry signatures only; the members that remain, fewer than came
+   in, get their hashes and are descended again, then compared exactly. A link makes its two
+   components one within the block, so there are fewer links than members.
 """
 
 from __future__ import annotations
@@ -26,10 +29,11 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import ship, small_join, udf, written
+from lakemart.llm.common import discard, ship, small_join, udf, written
 from lakemart.llm.components import components
 
 BLOCK = 512  # members of a side of a block
+WIDTH = 4  # bits of a signature per shingle, at least
 LEAF = 16  # rows of a tree's leaf, and children of a node
 GROWTH = 1.5  # of band sizes
 REMEMBERED = 100_000  # words whose hash a Python worker remembers
@@ -177,6 +181,50 @@ def _meetings(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
     ).where("a != b").distinct()
 
 
+def signature(tokens: np.ndarray) -> bytes:
+    """A bitmap of a set, of a width by its size: a power of two."""
+    bits = max(256, 1 << (WIDTH * len(tokens) - 1).bit_length())
+    flags = np.zeros(bits, bool)
+    flags[(tokens % np.uint64(bits)).astype(np.int64)] = True
+    return np.packbits(flags, bitorder="little").tobytes()
+
+
+def even(signatures: list[bytes]) -> np.ndarray:
+    """Bitmaps folded to the least width among them, as rows of words."""
+    least = min(map(len, signatures))
+    out = np.zeros((len(signatures), least // 8), np.uint64)
+    for row, s in zip(out, signatures, strict=True):
+        row[:] = np.bitwise_or.reduce(np.frombuffer(s, np.uint64).reshape(-1, least // 8), axis=0)
+    return out
+
+
+def _slack(bits: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """How many shingles of each set share another's bit."""
+    return size - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
+
+
+def _promising(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Of each ``b`` the pair whose signatures leave the greatest share possible, if it reaches ``percent``."""
+
+    def bound(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            best = []
+            for m, x, n, y in zip(batch.na, batch.sa, batch.nb, batch.sb, strict=True):
+                bits, size = even([x, y]), np.array([m, n])
+                shared = int(np.bitwise_count(bits[0] & bits[1]).sum(dtype=np.int64))
+                overlap = min(shared + int(_slack(bits, size).min()), m, n)
+                best.append(100 * overlap / (m + n - overlap))
+            batch = batch[["a", "b"]].assign(best=best)
+            yield batch[batch.best >= percent - 1e-6]
+
+    a = sets.select(F.col("id").alias("a"), F.col("size").alias("na"), F.col("signature").alias("sa"))
+    b = sets.select(F.col("id").alias("b"), F.col("size").alias("nb"), F.col("signature").alias("sb"))
+    left = pairs.join(b, "b").join(a, "a").select("a", "b", "na", "sa", "nb", "sb")
+    left = left.mapInPandas(bound, "a long, b long, best double")
+    best = left.groupBy("b").agg(F.max_by("a", F.struct("best", "a")).alias("a"))
+    return best.select("a", "b")
+
+
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sets reach ``percent``."""
     a = sets.select(F.col("id").alias("a"), F.col("tokens").alias("ta"))
@@ -191,7 +239,7 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _blocks(sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
-    """(block, side, id, root, band, tokens) for parts that hold several components."""
+    """(block, side, id, root) for parts that hold several components."""
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -229,7 +277,8 @@ def _blocks(sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
         F.ceil(F.col("n") / BLOCK).alias("cuts"),
         F.ceil((F.col("n") - F.col("most.n")) / BLOCK).alias("few_cuts"),
     )
-    rows = members.join(written(open_, "open"), "key")
+    open_ = written(open_, "open")
+    rows = members.join(open_, "key")
     many = rows.select(
         "key",
         F.pmod(F.xxhash64("id"), "cuts").alias("x"),
@@ -247,18 +296,17 @@ def _blocks(sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
         "root",
     )
     blocks = many.unionByName(few).withColumn("block", F.xxhash64("key", "x", "y"))
-    # The lower half of each hash is enough to bound an overlap from above.
-    halves = sets.select(
-        "id", F.transform("tokens", lambda t: t.bitwiseAND(0x7FFFFFFF).cast("int")).alias("tokens")
-    )
-    return blocks.select("block", "side", "id", "root").join(halves, "id")
+    blocks = written(blocks.select("block", "side", "id", "root"), "blocks")
+    discard(members)
+    discard(open_)
+    return blocks
 
 
 class Tree:
     """Signatures in leaves and nodes above them; level 0 are the rows themselves."""
 
     def __init__(self, bits: np.ndarray, size: np.ndarray, root: np.ndarray):
-        slack = size - np.bitwise_count(bits).sum(axis=1).astype(np.int64)
+        slack = _slack(bits, size)
         self.levels = [(bits, size, size, slack, root, root)]
         while len(self.levels[-1][1]) > 1:
             b, low, high, slack, r0, r1 = self.levels[-1]
@@ -307,47 +355,69 @@ def descend(x: Tree, y: Tree, percent: int) -> tuple[np.ndarray, np.ndarray]:
             i, j = i[ok], child[ok]
 
 
-def signatures(tokens: list[np.ndarray]) -> np.ndarray:
-    """Bitmaps of all sets, as wide as the largest asks for (2048 to 65536 bits)."""
-    largest = max(map(len, tokens), default=1)
-    bits = min(1 << 16, max(1 << 11, 1 << (4 * largest).bit_length()))
-    out = np.zeros((len(tokens), bits // 8), np.uint8)
-    for row, t in zip(out, tokens, strict=True):
-        flags = np.zeros(bits, bool)
-        flags[(t % np.uint64(bits)).astype(np.int64)] = True
-        row[:] = np.packbits(flags)
-    return out.view(np.uint64)
+def _pairs_left(group: pd.DataFrame, percent: int) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
+    """The block's rows in order, and the pairs of rows that its two trees leave."""
+    group = group.sort_values(["side", "root", "id"], ignore_index=True)
+    many = int((group.side == 0).sum())
+    if not 0 < many < len(group):
+        return group, np.zeros(0, np.int64), np.zeros(0, np.int64)
+    bits, size, root = even(list(group.signature)), group["size"].to_numpy(np.int64), group.root.to_numpy()
+    i, j = descend(
+        Tree(bits[:many], size[:many], root[:many]), Tree(bits[many:], size[many:], root[many:]), percent
+    )
+    apart = root[i] != root[j + many]
+    return group, i[apart], j[apart] + many
+
+
+def _left(percent: int):
+    def members(group: pd.DataFrame) -> pd.DataFrame:
+        group, i, j = _pairs_left(group, percent)
+        return group.iloc[np.union1d(i, j)][["block", "side", "id", "root"]]
+
+    return members
 
 
 def _tree_links(percent: int):
     def links_of(group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values(["side", "root", "id"])
-        size = np.array([len(t) for t in group.tokens])
-        tokens = [np.unique(np.array(t, np.uint64)) for t in group.tokens]
-        slack = size - np.array([len(t) for t in tokens])
-        bits = signatures(tokens)
-        root, ids = group.root.to_numpy(), group.id.to_numpy()
-        many = int((group.side == 0).sum())
-        out = pd.DataFrame({"a": ids[:0], "b": ids[:0]})
-        if many < len(group) and many:
-            i, j = descend(
-                Tree(bits[:many], size[:many], root[:many]),
-                Tree(bits[many:], size[many:], root[many:]),
-                percent,
-            )
-            j = j + many
-            links = []
-            for p, q in zip(i.tolist(), j.tolist(), strict=True):
-                if root[p] != root[q]:
-                    both = len(np.intersect1d(tokens[p], tokens[q])) + min(slack[p], slack[q])
-                    if (100 + percent) * both >= percent * (size[p] + size[q]):
-                        links.append((min(ids[p], ids[q]), max(ids[p], ids[q])))
-            out = pd.DataFrame(links, columns=["a", "b"], dtype="int64")
-        return out
+        group, i, j = _pairs_left(group, percent)
+        tokens = {k: np.array(group.tokens[k], np.int64) for k in np.union1d(i, j).tolist()}
+        root, ids = group.root.tolist(), group.id.tolist()
+        parent: dict[int, int] = {}
+
+        def top(node: int) -> int:
+            while (above := parent.get(node, node)) != node:
+                parent[node] = node = parent.get(above, above)
+            return node
+
+        links = []
+        for p, q in zip(i.tolist(), j.tolist(), strict=True):
+            x, y = top(root[p]), top(root[q])
+            if x != y:
+                both = len(np.intersect1d(tokens[p], tokens[q], assume_unique=True))
+                if (100 + percent) * both >= percent * (len(tokens[p]) + len(tokens[q])):
+                    parent[max(x, y)] = min(x, y)
+                    links.append((ids[p], ids[q]))
+        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return links_of
 
 
+def _links_of_trees(sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) between components, enough of them to join all that are linked."""
+    blocks = _blocks(sets, roots, percent)
+    names = sets.select("id", "size", "signature")
+    kind = "block long, side int, id long, root long"
+    left = written(blocks.join(names, "id").groupBy("block").applyInPandas(_left(percent), kind), "left")
+    # A pair left in many parts is compared in one of the blocks that have the same members left.
+    who = left.groupBy("block").agg(F.bit_xor(F.xxhash64("id", "side")).alias("who"), F.count("*").alias("n"))
+    once = written(who.groupBy("who", "n").agg(F.min("block").alias("block")).select("block"), "once")
+    rows = small_join(left, once, ["block"]).join(sets.select("id", "size", "signature", "tokens"), "id")
+    links = written(rows.groupBy("block").applyInPandas(_tree_links(percent), "a long, b long"), "links")
+    for table in (blocks, left, once):
+        discard(table)
+    return links
+
+
 def classes(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
     """``docs`` without ``text``, with n_shingles, set_id and root; empty sets have no set_id.
 
@@ -379,7 +449,12 @@ def classes(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
         for batch in batches:
             found = [shingles(t, k) for t in batch.text.drop_duplicates()]
             yield pd.DataFrame(
-                {"id": [set_id(f) for f in found], "tokens": [f.view(np.int64) for f in found]}
+                {
+                    "id": [set_id(f) for f in found],
+                    "size": [len(f) for f in found],
+                    "signature": [signature(f) for f in found],
+                    "tokens": [f.view(np.int64) for f in found],
+                }
             )
 
     # One text of each set, found again by its hash, so that no other text is cut to shingles anew.
@@ -387,15 +462,16 @@ def classes(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
     chosen = written(chosen.groupBy("id").agg(F.min("_q_text").alias("_q_text")), "texts")
     texts = docs.select(F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("_q_text"))
     sets = small_join(texts, chosen.select("_q_text"), ["_q_text"], "left_semi")
-    sets = sets.select("text").mapInPandas(take, "id long, tokens array<long>")
-    sets = written(sets.groupBy("id").agg(F.first("tokens").alias("tokens")), "sets")
-    links = written(_linked(pairs, sets, percent), "stars")
+    sets = sets.select("text").mapInPandas(take, "id long, size int, signature binary, tokens array<long>")
+    sets = sets.groupBy("id").agg(*[F.first(c).alias(c) for c in ("size", "signature", "tokens")])
+    sets = written(sets, "sets")
+    links = written(_linked(written(_promising(pairs, sets, percent), "best"), sets, percent), "stars")
     roots = components(links)
-    blocks = _blocks(sets, roots, percent)
-    more = blocks.groupBy("block").applyInPandas(_tree_links(percent), "a long, b long")
-    more = written(_linked(more.distinct(), sets, percent), "links")
+    more = _links_of_trees(sets, roots, percent)
     if more.limit(1).count():
         roots = components(links.union(more))
+    for table in (pairs, active, chosen, sets):
+        discard(table)
     found = members.join(roots.select(F.col("id").alias("set_id"), "root"), "set_id", "left")
     return found.drop("_q_text").withColumn("root", F.coalesce("root", "set_id"))
 
