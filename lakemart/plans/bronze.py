@@ -10,13 +10,18 @@ from pyspark.sql import DataFrame, SparkSession
 from lakemart.plans.concurrent import each
 from lakemart.plans.logistics import SPECS
 from lakemart.sinks.landing import SUMMARY_SCHEMA, land, manifest, manifest_row, write_manifest
+from lakemart.sources.ranges import Quoting
 from lakemart.sources.raw import check_tables, list_deliveries
 
 log = logging.getLogger(__name__)
 
 
 def run_bronze(
-    spark: SparkSession, source: str, lake: str, expected: Iterable[str] = tuple(SPECS)
+    spark: SparkSession,
+    source: str,
+    lake: str,
+    expected: Iterable[str] = tuple(SPECS),
+    quoting: Quoting = Quoting(),
 ) -> DataFrame:
     """Land every table delivered in a folder; returns the run summary.
 
@@ -30,9 +35,11 @@ def run_bronze(
         table = found.table_name
         target = f"{lake}/bronze/{table}/{found.source_file}"
         try:
-            rows = land(spark, found.path, target)
-            row = manifest_row(spark, table, found.source_file, found.size_bytes, target, rows)
-            return row, (table, "SUCCESS", rows, row[5], None)
+            landed = land(spark, found.path, target, quoting)
+            row = manifest_row(
+                spark, table, found.source_file, found.size_bytes, target, landed, quoting
+            )
+            return row, (table, "SUCCESS", landed.rows, row[5], None)
         except Exception as error:  # one bad table must not stop the rest
             log.error("%s: %s", table, error)
             return None, (table, "FAILED", None, None, str(error))

@@ -9,6 +9,7 @@ from lakemart.plans.bronze import run_bronze
 from lakemart.plans.gold import run_gold, validate_gold
 from lakemart.plans.logistics import GATED_GOLD, GATED_SILVER
 from lakemart.plans.silver import run_silver
+from lakemart.sources.ranges import Quoting
 from lakemart.sources.tables import read_gold, read_silver
 
 
@@ -33,7 +34,11 @@ def published_gate(spark: SparkSession, lake: str) -> None:
 
 
 def run(
-    spark: SparkSession, lake: str, source: str | None = None, mode: str = "replace"
+    spark: SparkSession,
+    lake: str,
+    source: str | None = None,
+    mode: str = "replace",
+    quoting: Quoting = Quoting(),
 ) -> DataFrame:
     """Bronze (when ``source`` is given), Silver, gate, Gold, gate, report.
 
@@ -41,8 +46,8 @@ def run(
     same input publishes the same rows.
     """
     if source is not None:
-        run_bronze(spark, source, lake)
-    run_silver(spark, lake)
+        run_bronze(spark, source, lake, quoting=quoting)
+    run_silver(spark, lake, quoting=quoting)
     silver_gate(spark, lake)
     run_gold(spark, lake, mode)
     published_gate(spark, lake)

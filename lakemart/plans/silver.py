@@ -18,6 +18,7 @@ from lakemart.sinks.quarantine import (
     stage_classified,
 )
 from lakemart.sinks.reports import write_report
+from lakemart.sources.ranges import Quoting
 from lakemart.sources.raw import read_bronze
 from lakemart.sources.tables import read_silver
 
@@ -44,6 +45,7 @@ def run_silver(
     lake: str,
     raw: Mapping[str, DataFrame] | None = None,
     specs: Mapping[str, TableSpec] = SPECS,
+    quoting: Quoting = Quoting(),
 ) -> DataFrame:
     """Build and publish all Silver tables; returns rows per table and outcome.
 
@@ -54,7 +56,7 @@ def run_silver(
     published: dict[str, DataFrame] = {}
 
     def build(name: str) -> tuple[DataFrame, list[tuple]]:
-        batch = raw[name] if raw is not None else read_bronze(spark, lake, name)
+        batch = raw[name] if raw is not None else read_bronze(spark, lake, name, quoting=quoting)
         classified = classify(batch, specs[name], published)
         silver = f"{lake}/silver/{name}"
         staged = stage_classified(classified, silver)

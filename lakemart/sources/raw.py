@@ -9,6 +9,8 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakemart.sources.ranges import Quoting
+
 log = logging.getLogger(__name__)
 
 VALID_DATA = "VALID_DATA"
@@ -31,12 +33,14 @@ def raw_csv(
     paths: str | Sequence[str],
     multi_line: bool = False,
     check_headers: bool = True,
+    quoting: Quoting = Quoting(),
 ) -> DataFrame:
     """All CSV files at ``paths`` as one frame of string columns named by the header.
 
     Files whose header differs from the first one's fail the scan instead of being
     read by position (``check_headers=False`` restores that). ``multi_line`` accepts
-    line breaks inside quotes, at the price of unsplittable files.
+    line breaks inside quotes, at the price of unsplittable files; parts landed in Bronze are
+    cut between records and no larger than a byte range, so there it costs no parallelism.
     """
     paths = [paths] if isinstance(paths, str) else sorted(paths)
     try:
@@ -45,6 +49,9 @@ def raw_csv(
             .option("inferSchema", False)
             .option("mode", "PERMISSIVE")
             .option("multiLine", multi_line)
+            .option("sep", quoting.sep)
+            .option("quote", quoting.quote)
+            .option("escape", quoting.escape)
             .option("enforceSchema", not check_headers)
             .option("recursiveFileLookup", True)
             .csv(paths)
@@ -53,9 +60,32 @@ def raw_csv(
         raise _not_found(error, paths) from error
 
 
-def read_bronze(spark: SparkSession, lake: str, table: str) -> DataFrame:
-    """Bronze rows of a table; a batch with a header and no rows is only a warning."""
-    df = raw_csv(spark, f"{lake}/bronze/{table}")
+def holds_breaks(spark: SparkSession, lake: str, table: str) -> bool:
+    """Whether the manifest says that records of the table go over several lines."""
+    path = f"{lake}/metadata/bronze_manifest"
+    try:
+        rows = spark.read.schema("table_name string, multi_line boolean").json(path)
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return False
+        raise
+    return not rows.where((F.col("table_name") == table) & F.col("multi_line")).isEmpty()
+
+
+def read_bronze(
+    spark: SparkSession,
+    lake: str,
+    table: str,
+    multi_line: bool | None = None,
+    quoting: Quoting = Quoting(),
+) -> DataFrame:
+    """Bronze rows of a table; a batch with a header and no rows is only a warning.
+
+    Unless told, the manifest decides whether quoted line breaks are to be expected.
+    """
+    if multi_line is None:
+        multi_line = holds_breaks(spark, lake, table)
+    df = raw_csv(spark, f"{lake}/bronze/{table}", multi_line, quoting=quoting)
     if df.isEmpty():
         log.warning("%s: header with 0 rows", table)
     return df

@@ -9,11 +9,14 @@ from lakemart.plans.bronze import run_bronze
 from lakemart.plans.logistics import REQUIRED_LOAD_COLUMNS
 from lakemart.session import work_path
 from lakemart.sinks.landing import land
+from lakemart.sinks.paths import rename
 from lakemart.sinks.reports import write_report
 from lakemart.sources import raw as source
+from lakemart.sources.ranges import Quoting
 from workload.roles import loads, table, trips
 
 SOURCES = ("customer", "orders", "lineitem")
+DOUBLED = Quoting(escape='"')
 
 
 def _csv(spark, df, name):
@@ -90,6 +93,40 @@ def bronze_landing(spark, sf_dir):
     return source.raw_csv(spark, landed).select("o_orderkey", "o_orderstatus", "o_orderpriority")
 
 
+def _documents_csv(spark, sf_dir):
+    """Documents as CSV with doubled quotes: texts hold line breaks, blank lines and quotes."""
+    path = work_path(spark, "documents_csv")
+    text = F.concat("text", F.lit('\n\n"'), "source", F.lit('"'))
+    documents = table(spark, sf_dir, "documents").withColumn("text", text)
+    documents.write.option("header", True).option("escape", '"').csv(path)
+    return path
+
+
+def _in_small_ranges(spark):
+    """A session that deals files out in ranges of 100 kB, so that many cuts fall into records."""
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "100k")
+    session.conf.set("spark.sql.files.openCostInBytes", "1k")
+    return session
+
+
+def landing_quoted_breaks(spark, sf_dir):
+    """Documents landed in parts cut between records, and read back part by part."""
+    landed = work_path(spark, "bronze")
+    land(_in_small_ranges(spark), _documents_csv(spark, sf_dir), landed, DOUBLED)
+    return source.raw_csv(spark, landed, multi_line=True, quoting=DOUBLED)
+
+
+def manifest_quoted_breaks(spark, sf_dir):
+    """What the manifest says of documents whose records go over several lines."""
+    lake, folder = work_path(spark, "lake"), work_path(spark, "delivery")
+    rename(spark, _documents_csv(spark, sf_dir), f"{folder}/documents")
+    run_bronze(_in_small_ranges(spark), folder, lake, ["documents"], DOUBLED)
+    return spark.read.json(f"{lake}/metadata/bronze_manifest").select(
+        "table_name", "row_count", "column_count", "blank_line_count", "multi_line", "data_preserved_as_source"
+    )
+
+
 def bronze_job(spark, sf_dir):
     """Three delivered tables checked and landed; the run summary."""
     lake = work_path(spark, "lake")
@@ -125,6 +162,8 @@ QUERIES = {
         table_names,
         table_presence,
         bronze_landing,
+        landing_quoted_breaks,
+        manifest_quoted_breaks,
         bronze_job,
         bronze_manifest,
         report_sink,
@@ -165,6 +204,14 @@ ORACLE = {
     "bronze_landing": """
         SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, o_orderpriority
         FROM orders""",
+    "landing_quoted_breaks": """
+        SELECT CAST(doc_id AS VARCHAR) AS doc_id, text || chr(10) || chr(10) || '"' || source || '"' AS text,
+               lang, source, CAST(n_chars AS VARCHAR) AS n_chars
+        FROM documents""",
+    "manifest_quoted_breaks": """
+        SELECT 'documents' AS table_name, count(*) AS row_count, 5 AS column_count,
+               CAST(0 AS BIGINT) AS blank_line_count, true AS multi_line, true AS data_preserved_as_source
+        FROM documents""",
     "bronze_manifest": " UNION ALL ".join(
         f"""
         SELECT '{n}' AS table_name, '{n}' AS source_file, count(*) AS row_count,
