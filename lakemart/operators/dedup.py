@@ -29,18 +29,26 @@ def recency_order(columns: Sequence[str], keys: Sequence[str], recency: Sequence
 
 
 def latest_state(
-    df: DataFrame, key: str | Sequence[str], recency: Sequence[str] = ()
+    df: DataFrame,
+    key: str | Sequence[str],
+    recency: Sequence[str] = (),
+    counted: str | None = None,
 ) -> DataFrame:
-    """Latest row per key; later ``recency`` wins, ties fall to the other columns."""
+    """Latest row per key; later ``recency`` wins, ties fall to the other columns.
+
+    ``counted`` names a further column for the number of rows of the key.
+    """
     keys = _names(key)
     ranked = recency_order(df.columns, keys, recency)
-    if not ranked:
+    if not ranked and counted is None:
         return df.distinct()
     best = df.groupBy(*[named(k) for k in keys]).agg(
-        F.max(F.struct(*[named(c) for c in ranked])).alias("_best")
+        F.max(F.struct(*[named(c) for c in ranked]) if ranked else F.lit(True)).alias("_best"),
+        *([] if counted is None else [F.count("*").alias(counted)]),
     )
     return best.select(
-        *[named(c) if c in keys else F.col("_best").getField(c).alias(c) for c in df.columns]
+        *[named(c) if c in keys else F.col("_best").getField(c).alias(c) for c in df.columns],
+        *([] if counted is None else [counted]),
     )
 
 

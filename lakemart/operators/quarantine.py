@@ -23,25 +23,29 @@ REASON = "quarantine_reason"
 QUARANTINED_AT = "quarantined_at_utc"
 _RULE = "_broken_rule"
 _COPY = "_copy"
+_TIMES = "_times"
 
 
 def classify(raw: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame]) -> DataFrame:
     """Typed rows plus ``quarantine_reason`` (NULL = accepted); superseded rows are gone.
 
     The source is read once. Rejected rows travel through the same aggregate as
-    the valid ones, each as its own group: the row number in ``_copy`` keeps them
-    apart (exact duplicates included) and spreads rejects with a NULL key over all
-    partitions. Valid rows share one ``_copy`` value and so compete per key.
+    the valid ones, grouped by their content: its digest in ``_copy`` keeps them apart and
+    spreads rejects with a NULL key over all partitions; exact duplicates become one row with
+    a count, and as many rows again at the end. The digest belongs to the row, not to its place,
+    so a task that runs again can neither lose nor double a reject. Valid rows share one
+    ``_copy`` value and so compete per key.
     ``parents`` must be unique on their key, as accepted Silver tables are.
     """
     tagged = conform(raw, spec).withColumn(_RULE, first_broken(spec.all_rules))
-    tagged = tagged.withColumn(
-        _COPY, F.when(F.col(_RULE).isNotNull(), F.monotonically_increasing_id())
-    )
-    latest = latest_state(tagged, [spec.key, _COPY], spec.recency).drop(_COPY)
+    content = F.sha2(F.to_json(F.struct(*[named(c) for c in tagged.columns])), 256)
+    tagged = tagged.withColumn(_COPY, F.when(F.col(_RULE).isNotNull(), content))
+    latest = latest_state(tagged, [spec.key, _COPY], spec.recency, counted=_TIMES).drop(_COPY)
     restated = restate(latest, spec, F.col(_RULE).isNull())
     checked = with_fk_reason(restated, spec.foreign_keys, parents, REASON)
-    return checked.withColumn(REASON, F.coalesce(F.col(_RULE), F.col(REASON))).drop(_RULE)
+    times = F.when(F.col(_RULE).isNotNull(), F.col(_TIMES)).otherwise(1)
+    repeated = checked.withColumn(_TIMES, F.explode(F.sequence(F.lit(1).cast("long"), times)))
+    return repeated.withColumn(REASON, F.coalesce(F.col(_RULE), F.col(REASON))).drop(_RULE, _TIMES)
 
 
 def accepted(classified: DataFrame) -> DataFrame:

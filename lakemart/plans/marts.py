@@ -7,7 +7,7 @@ and enriched afterwards, so a mart holds only keys that have facts.
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -234,25 +234,110 @@ def daily_operations(t: Tables) -> DataFrame:
     return daily_rows(t["delivery_events"])
 
 
+@dataclass(frozen=True)
+class Feed:
+    """A table whose changed rows concern rows of a mart.
+
+    ``column`` of the changed rows is the mart's key; with ``through`` = (table, on, key) it is
+    equal to ``on`` in that table, whose column ``key`` is the mart's key.
+    """
+
+    table: str
+    column: str
+    through: tuple[str, str, str] | None = None
+
+
 @dataclass(frozen=True)
 class Mart:
-    """A mart, its grain and the function that builds it."""
+    """A mart, its grain, the function that builds it, and what its rows depend on.
+
+    ``facts`` are the tables that a part of the mart can be built from alone: by the column that
+    holds the mart's key, or by (another of them, column that both share).
+    """
 
     name: str
     key: str
     build: Callable[[Tables], DataFrame]
+    feeds: tuple[Feed, ...] = ()
+    facts: Mapping[str, str | tuple[str, str]] = field(default_factory=dict)
+
+
+def with_dates(tables: Tables) -> dict[str, DataFrame]:
+    """The tables, events with the date that the daily mart is keyed by."""
+    events = tables["delivery_events"]
+    return {**tables, "delivery_events": events.withColumn("event_date", event_date("actual_datetime"))}
+
+
+def _per(table: str, key: str, **parents: str) -> tuple[Feed, ...]:
+    """The feeds of a mart of ``key`` over one table of facts; parents by the column that names them."""
+    return Feed(table, key), *[Feed(p, c, (table, c, key)) for p, c in parents.items()]
 
 
 MARTS: dict[str, Mart] = {
     m.name: m
     for m in (
-        Mart("gold_load_performance", "load_id", load_performance),
-        Mart("gold_delivery_performance", "event_id", delivery_performance),
-        Mart("gold_driver_performance", "driver_id", driver_performance),
-        Mart("gold_truck_performance", "truck_id", truck_performance),
-        Mart("gold_facility_performance", "facility_id", facility_performance),
-        Mart("gold_route_performance", "route_id", route_performance),
-        Mart("gold_customer_performance", "customer_id", customer_performance),
-        Mart("gold_daily_operations", "event_date", daily_operations),
+        Mart(
+            "gold_load_performance",
+            "load_id",
+            load_performance,
+            (
+                *_per("loads", "load_id", customers="customer_id", routes="route_id"),
+                Feed("delivery_events", "load_id"),
+            ),
+            {"loads": "load_id", "delivery_events": "load_id"},
+        ),
+        Mart(
+            "gold_delivery_performance",
+            "event_id",
+            delivery_performance,
+            _per("delivery_events", "event_id", loads="load_id", trips="trip_id", facilities="facility_id"),
+            {"delivery_events": "event_id"},
+        ),
+        Mart(
+            "gold_driver_performance",
+            "driver_id",
+            driver_performance,
+            (Feed("trips", "driver_id"), Feed("drivers", "driver_id")),
+            {"trips": "driver_id"},
+        ),
+        Mart(
+            "gold_truck_performance",
+            "truck_id",
+            truck_performance,
+            (Feed("trips", "truck_id"), Feed("trucks", "truck_id")),
+            {"trips": "truck_id"},
+        ),
+        Mart(
+            "gold_facility_performance",
+            "facility_id",
+            facility_performance,
+            (Feed("delivery_events", "facility_id"), Feed("facilities", "facility_id")),
+            {"delivery_events": "facility_id"},
+        ),
+        Mart(
+            "gold_route_performance",
+            "route_id",
+            route_performance,
+            (
+                Feed("loads", "route_id"),
+                Feed("trips", "load_id", ("loads", "load_id", "route_id")),
+                Feed("routes", "route_id"),
+            ),
+            {"loads": "route_id", "trips": ("loads", "load_id")},
+        ),
+        Mart(
+            "gold_customer_performance",
+            "customer_id",
+            customer_performance,
+            (Feed("loads", "customer_id"), Feed("customers", "customer_id")),
+            {"loads": "customer_id"},
+        ),
+        Mart(
+            "gold_daily_operations",
+            "event_date",
+            daily_operations,
+            (Feed("delivery_events", "event_date"),),
+            {"delivery_events": "event_date"},
+        ),
     )
 }

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,16 +11,13 @@ from lakemart.operators.quarantine import REASON, accepted, classify
 from lakemart.plans.concurrent import each
 from lakemart.plans.logistics import SPECS
 from lakemart.plans.spec import TableSpec
-from lakemart.sinks.quarantine import (
-    ACCEPTED,
-    outcome_counts,
-    publish_classified,
-    stage_classified,
-)
+from lakemart.sinks.paths import delete, name_of
+from lakemart.sinks.quarantine import outcome_counts, write_classified
 from lakemart.sinks.reports import write_report
 from lakemart.sources.ranges import Quoting
 from lakemart.sources.raw import read_bronze
-from lakemart.sources.tables import read_silver
+from lakemart.sources.tables import ACCEPTED
+from lakemart.sources.versions import current, new_run, publish
 
 
 def classify_all(
@@ -47,24 +44,51 @@ def run_silver(
     specs: Mapping[str, TableSpec] = SPECS,
     quoting: Quoting = Quoting(),
 ) -> DataFrame:
-    """Build and publish all Silver tables; returns rows per table and outcome.
+    """Build all Silver tables, then publish them together; returns rows per table and outcome.
 
     Per table there is one read of the batch and one write. The written table cuts the
     lineage: children check their keys against Parquet, and a lost executor costs the
-    running table only. Tables whose parents are published are built side by side.
+    running table only. Tables whose parents are written are built side by side. Readers see
+    the former tables until all are written (``versions``): if one fails, none changes.
     """
     published: dict[str, DataFrame] = {}
+    layer = f"{lake}/silver"
+    folder = new_run(layer)
+    noted: dict[str, dict] = {}
 
     def build(name: str) -> tuple[DataFrame, list[tuple]]:
         batch = raw[name] if raw is not None else read_bronze(spark, lake, name, quoting=quoting)
         classified = classify(batch, specs[name], published)
-        silver = f"{lake}/silver/{name}"
-        staged = stage_classified(classified, silver)
-        counts = outcome_counts(spark, staged, classified.schema, name).collect()
-        publish_classified(spark, staged, classified.schema, silver, f"{lake}/quarantine/{name}")
-        kept = classified.drop(REASON).schema
-        return read_silver(spark, lake, name, schema=kept), [tuple(r) for r in counts]
+        path = f"{folder}/{name}"
+        write_classified(classified, path)
+        counts = outcome_counts(spark, path, classified.schema, name).collect()
+        rejected = any(r.outcome != ACCEPTED for r in counts)
+        run, schema = name_of(folder), classified.schema
+        noted[name] = {"run": run, "schema": schema.jsonValue(), "rejected": rejected}
+        written = spark.read.schema(schema).parquet(path)
+        return written.where(F.col(REASON) == ACCEPTED).drop(REASON), [tuple(r) for r in counts]
+
+    try:
+        counts = _build_in_order(spark, specs, published, build)
+    except Exception:
+        delete(spark, folder)
+        raise
+    built_from = current(spark, f"{lake}/gold")
+    publish(spark, layer, folder, noted, keep=[built_from.tables["silver"]["of"]] if built_from else ())
+    outcomes = spark.createDataFrame(
+        counts, "table_name string, outcome string, row_count long"
+    )
+    write_report(silver_report(outcomes, specs), f"{lake}/reports/silver_quality_report")
+    return outcomes
+
 
+def _build_in_order(
+    spark: SparkSession,
+    specs: Mapping[str, TableSpec],
+    published: dict[str, DataFrame],
+    build: Callable[[str], tuple[DataFrame, list[tuple]]],
+) -> list[tuple]:
+    """Every table after its parents; those of one generation side by side."""
     counts: list[tuple] = []
     while len(published) < len(specs):
         ready = [
@@ -77,11 +101,7 @@ def run_silver(
         for name, (table, rows) in zip(ready, each(spark, build, ready)):
             published[name] = table
             counts += rows
-    outcomes = spark.createDataFrame(
-        counts, "table_name string, outcome string, row_count long"
-    )
-    write_report(silver_report(outcomes, specs), f"{lake}/reports/silver_quality_report")
-    return outcomes
+    return counts
 
 
 def silver_report(outcomes: DataFrame, specs: Mapping[str, TableSpec] = SPECS) -> DataFrame:

@@ -36,6 +36,26 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(jvm.org.apache.hadoop.fs.Path(path), True)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """Content of a small file."""
+    fs, jvm = _open(spark, path)
+    stream = fs.open(jvm.org.apache.hadoop.fs.Path(path))
+    try:
+        return jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_new(spark: SparkSession, path: str, text: str) -> None:
+    """Writes a small file that must not exist yet."""
+    fs, jvm = _open(spark, path)
+    stream = fs.create(jvm.org.apache.hadoop.fs.Path(path), False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     fs, jvm = _open(spark, target)
     path = jvm.org.apache.hadoop.fs.Path

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
-from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -12,16 +11,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakemart.operators.quarantine import QUARANTINED_AT, REASON
-from lakemart.sinks.paths import children, delete, exists, rename, staging_path, swap_in
-from lakemart.sinks.tables import stage
+from lakemart.sources.tables import ACCEPTED, read_version
+from lakemart.sources.versions import current
 
-ACCEPTED = "__accepted__"
 
-
-def stage_classified(classified: DataFrame, silver: str) -> str:
-    """Write a classified batch once, as one partition per outcome, next to ``silver``."""
+def write_classified(classified: DataFrame, path: str) -> None:
+    """Write a classified batch once, as one partition per outcome; it is never moved."""
     outcome = F.coalesce(F.col(REASON), F.lit(ACCEPTED))
-    return stage(classified.withColumn(REASON, outcome), silver, [REASON])
+    classified.withColumn(REASON, outcome).write.partitionBy(REASON).parquet(path)
 
 
 def outcome_counts(spark: SparkSession, staged: str, schema: StructType, table: str) -> DataFrame:
@@ -35,34 +32,6 @@ def outcome_counts(spark: SparkSession, staged: str, schema: StructType, table:
     )
 
 
-def publish_classified(
-    spark: SparkSession, staged: str, schema: StructType, silver: str, quarantine: str
-) -> None:
-    """Move a staged batch in place: accepted rows become ``silver``, the rest ``quarantine``.
-
-    The data is not written again; the time of the run becomes a partition value of
-    the quarantine folder. All rejects of the table are replaced together, so those of
-    an earlier run never linger.
-    """
-    accepted_rows = staging_path(silver)
-    kept = f"{staged}/{REASON}={ACCEPTED}"
-    if exists(spark, kept):
-        rename(spark, kept, accepted_rows)
-    else:
-        empty = spark.createDataFrame([], schema).drop(REASON)
-        empty.write.parquet(accepted_rows)
-    swap_in(spark, accepted_rows, silver)
-
-    if any(f"/{REASON}=" in child for child in children(spark, staged)):
-        now = datetime.now(timezone.utc).strftime("%Y-%m-%d %H%%3A%M%%3A%S")
-        rejects = staging_path(quarantine)
-        rename(spark, staged, f"{rejects}/{QUARANTINED_AT}={now}")
-        swap_in(spark, rejects, quarantine)
-    else:
-        delete(spark, staged)
-        delete(spark, quarantine)
-
-
 def write_quarantine(df: DataFrame, quarantine: str, table: str, reason: str) -> bool:
     """Write one set of rejects under its table and reason; skipped when it is empty."""
     if df.isEmpty():
@@ -81,9 +50,21 @@ def write_quarantine(df: DataFrame, quarantine: str, table: str, reason: str) ->
 def read_quarantine(
     spark: SparkSession, folder: str, tables: Iterable[str]
 ) -> dict[str, DataFrame]:
-    """Quarantined rows per table that has any."""
+    """Quarantined rows per table that has any.
+
+    ``folder`` is the quarantine folder of a lake; rejects of published Silver versions are those
+    of the last one, with the time of its publication.
+    """
     found = {}
+    lake = folder.rstrip("/").rpartition("/")[0]
+    version = current(spark, f"{lake}/silver")
     for name in tables:
+        if version is not None and name in version.tables:
+            if version.tables[name]["rejected"]:
+                at = F.to_timestamp(F.lit(version.published_at))
+                rejects = read_version(spark, lake, version, name, accepted=False)
+                found[name] = rejects.withColumn(QUARANTINED_AT, at)
+            continue
         try:
             found[name] = spark.read.parquet(f"{folder}/{name}")
         except AnalysisException as error:

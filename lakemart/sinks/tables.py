@@ -93,7 +93,9 @@ def upsert(source: DataFrame, target: str, key: str) -> None:
     swap_in(source.sparkSession, stage_upsert(source, target, key), target)
 
 
-def upsert_partitions(source: DataFrame, target: str, key: str, by: str) -> list[str]:
+def upsert_partitions(
+    source: DataFrame, target: str, key: str, by: str, follows: bool = False
+) -> list[str]:
     """Upsert into a table partitioned by ``by``, rewriting only the partitions concerned.
 
     These are the partitions the batch has rows for and those its keys sit in today, so a
@@ -101,7 +103,8 @@ def upsert_partitions(source: DataFrame, target: str, key: str, by: str) -> list
     partition is swapped in by itself: run the upsert again if it was interrupted.
 
     Two scans of the table: its keys and partitions, to find those concerned, and then these
-    partitions only. Their number is bounded by that of the partition folders of the table.
+    partitions only. Where the partition ``follows`` from the key, the first is left out. The number
+    of partitions concerned is bounded by that of the folders of the table.
     """
     spark = source.sparkSession
     recover(spark, target)
@@ -119,9 +122,9 @@ def upsert_partitions(source: DataFrame, target: str, key: str, by: str) -> list
         folder = F.url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))).alias("_folder")
         keys = written.select(named(key).alias("_key"))
         located = current.select(named(key), named(by).alias("_by"), folder)
-        hit = located.join(keys, named(key) == F.col("_key"), "left_semi")
-        touched = hit.select("_by", "_folder").union(written.select(named(by), folder)).distinct()
-        found = touched.collect()
+        hit = located.join(keys, named(key) == F.col("_key"), "left_semi").select("_by", "_folder")
+        touched = written.select(named(by).alias("_by"), folder)
+        found = (touched if follows else hit.union(touched)).distinct().collect()
         staged = stage(merged(within(current, by, [r[0] for r in found]), written, key), target, [by])
     finally:
         delete(spark, batch)

@@ -6,9 +6,14 @@ from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from lakemart.operators.dedup import latest_state
+from lakemart.sources.versions import Version, current
+
+REASON = "quarantine_reason"
+ACCEPTED = "__accepted__"
 
 
 def read_path(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -32,13 +37,30 @@ def read_silver(
 ) -> DataFrame:
     """A Silver table.
 
+    The last published version counts (see ``versions``); a lake without one holds plain folders.
     Silver is unique on its key by construction. Naming ``key`` guards the grain
     of tables that come from elsewhere; the guard costs a shuffle, so it is off by default.
     """
-    df = read_path(spark, f"{lake}/silver/{table}", schema)
+    version = current(spark, f"{lake}/silver")
+    if version is not None and table in version.tables:
+        df = read_version(spark, lake, version, table)
+    else:
+        df = read_path(spark, f"{lake}/silver/{table}", schema)
     return latest_state(df, key, recency) if key else df
 
 
+def read_version(
+    spark: SparkSession, lake: str, version: Version, table: str, accepted: bool = True
+) -> DataFrame:
+    """Silver rows of a table as a version has them, or its rejects with their reason."""
+    noted = version.tables[table]
+    schema = StructType.fromJson(noted["schema"])
+    df = spark.read.schema(schema).parquet(f"{lake}/silver/_runs/{noted['run']}/{table}")
+    if accepted:
+        return df.where(F.col(REASON) == ACCEPTED).drop(REASON)
+    return df.where(F.col(REASON) != ACCEPTED)
+
+
 def read_catalog(
     spark: SparkSession, name: str, key: str | None = None, recency: Sequence[str] = ()
 ) -> DataFrame:
@@ -48,5 +70,5 @@ def read_catalog(
 
 
 def read_gold(spark: SparkSession, lake: str, mart: str) -> DataFrame:
-    """A published mart."""
-    return read_path(spark, f"{lake}/gold/{mart}")
+    """A published mart, without the folder that an upsert keeps its rows in."""
+    return read_path(spark, f"{lake}/gold/{mart}").drop("key_bucket")

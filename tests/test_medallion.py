@@ -143,7 +143,7 @@ def test_silver_values(spark, lake, rows):
     assert types["detention_minutes"] == "int" and types["on_time_flag"] == "boolean"
     assert "quarantine_reason" not in types
     # Quarantined loads keep the revenue they came with unless they passed the rules.
-    bad = spark.read.parquet(f"{path}/quarantine/loads")
+    bad = read_quarantine(spark, f"{path}/quarantine", ["loads"])["loads"]
     assert rows(bad.where("quarantine_reason = 'missing_primary_key'"), "revenue") == [
         (250.25,), (250.25,)
     ]

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from lakemart.operators import profiles, quality
@@ -14,6 +15,7 @@ from lakemart.plans.gold import run_gold, validate_gold
 from lakemart.plans.logistics import STRICT_CHECKS
 from lakemart.plans.run import published_gate, silver_gate
 from lakemart.session import work_path
+from lakemart.sources.tables import read_gold, read_silver
 from workload.marts import (
     CUSTOMER,
     DELIVERY,
@@ -169,9 +171,44 @@ def medallion_run(spark, sf_dir):
     return validate_gold(spark, lake)
 
 
+def _dearer(tables):
+    """The next delivery: of every fiftieth customer's loads, finished ones cost 100 more."""
+    wanted = (F.col("load_status") == "COMPLETED") & (F.col("customer_id").try_cast("long") % 50 == 0)
+    revenue = F.when(wanted, (F.col("revenue").cast("double") + 100).cast("string")).otherwise(F.col("revenue"))
+    return {**tables, "loads": tables["loads"].withColumn("revenue", revenue)}
+
+
+def gold_update(spark, sf_dir):
+    """The customer mart after a second delivery; Gold is brought up to date by key."""
+    lake = work_path(spark, "lake")
+    delivered = raw(spark, sf_dir)
+    for tables in (delivered, _dearer(delivered)):
+        silver.run_silver(spark, lake, tables)
+        run_gold(spark, lake, "upsert")
+    return read_gold(spark, lake, "gold_customer_performance").drop("last_ingested_at")
+
+
+def silver_all_or_none(spark, sf_dir):
+    """Rows of all Silver tables after a second run that failed in its last table."""
+    lake = work_path(spark, "lake")
+    delivered = raw(spark, sf_dir)
+    silver.run_silver(spark, lake, delivered)
+    broken = delivered["delivery_events"].withColumn("event_type", F.raise_error(F.lit("unreadable")).cast("string"))
+    try:
+        silver.run_silver(spark, lake, {**_dearer(delivered), "delivery_events": broken})
+    except PySparkException as error:
+        if "unreadable" not in str(error):
+            raise
+    rows = {n: read_silver(spark, lake, n) for n in silver.SPECS}
+    revenue = rows["loads"].agg(F.round(F.sum(F.col("revenue").cast("decimal(28,2)")), 2).cast("double")).scalar()
+    return profiles.row_counts(rows).withColumn("revenue", revenue)
+
+
 QUERIES = {
     f.__name__: f
     for f in (
+        gold_update,
+        silver_all_or_none,
         grain_check,
         key_assertions,
         quality_report,
@@ -398,6 +435,20 @@ ORACLE = {
                CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM trips) AS relative_frequency
         FROM trips GROUP BY 1"""
     ),
+    "gold_update": with_roles(
+        _on_silver(CUSTOMER).replace("silver_loads", "dearer_loads"),
+        {
+            "dearer_loads": "SELECT * REPLACE (CASE WHEN load_status = 'COMPLETED' AND CAST(customer_id AS BIGINT) % 50 = 0 "
+            "THEN revenue + 100 ELSE revenue END AS revenue) FROM silver_loads"
+        },
+    ),
+    "silver_all_or_none": with_roles(
+        " UNION ALL ".join(
+            f"SELECT '{n}' AS table_name, count(*) AS row_count, (SELECT CAST(sum(CAST(revenue AS "
+            f"DECIMAL(18, 2))) AS DOUBLE) FROM silver_loads) AS revenue FROM silver_{n}"
+            for n in SILVER
+        )
+    ),
     "medallion_run": with_roles(
         " UNION ALL ".join(
             _report(n, _on_silver(sql), key, columns, numeric.split())
