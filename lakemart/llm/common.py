@@ -34,6 +34,24 @@ def discard(df: DataFrame) -> None:
         folder.getFileSystem(context._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def bucketed(df: DataFrame, key: str) -> DataFrame:
+    """``df`` as a table in the shared folder, dealt by ``key``: joins on it shuffle the other side only."""
+    spark = df.sparkSession
+    path = work_path(spark, "bucketed")
+    name = path.rpartition("/")[2].replace("-", "_")
+    number = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    df.write.bucketBy(number, key).format("parquet").option("path", path).saveAsTable(name)
+    found = spark.table(name)
+    found.bucketed_as = name
+    return found
+
+
+def drop_bucketed(df: DataFrame) -> None:
+    """Deletes a table made by ``bucketed`` that nothing reads any more."""
+    discard(df)
+    df.sparkSession.sql(f"DROP TABLE {df.bucketed_as}")
+
+
 def unit(*columns: Column | str) -> Column:
     """A deterministic uniform number in [0, 1) from the given values."""
     return F.shiftrightunsigned(F.xxhash64(*columns), 11) * F.lit(2.0**-53)

@@ -29,11 +29,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import discard, ship, small_join, udf, written
+from lakemart.llm.common import bucketed, discard, drop_bucketed, ship, small_join, udf, written
 from lakemart.llm.components import components
 
 BLOCK = 512  # members of a side of a block
 WIDTH = 4  # bits of a signature per shingle, at least
+PACKED = 6  # bytes of a hash that are kept to compare two sets
 LEAF = 16  # rows of a tree's leaf, and children of a node
 GROWTH = 1.5  # of band sizes
 REMEMBERED = 100_000  # words whose hash a Python worker remembers
@@ -181,6 +182,23 @@ def _meetings(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
     ).where("a != b").distinct()
 
 
+def packed(tokens: np.ndarray) -> bytes:
+    """The lower PACKED bytes of each hash; enough to tell the shingles of two sets apart."""
+    return tokens.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :PACKED].tobytes()
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    out = np.zeros((len(data) // PACKED, 8), np.uint8)
+    out[:, :PACKED] = np.frombuffer(data, np.uint8).reshape(-1, PACKED)
+    return np.sort(out.view("<u8").ravel())
+
+
+def alike(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """Whether two sets reach ``percent``."""
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return (100 + percent) * both >= percent * (len(x) + len(y))
+
+
 def signature(tokens: np.ndarray) -> bytes:
     """A bitmap of a set, of a width by its size: a power of two."""
     bits = max(256, 1 << (WIDTH * len(tokens) - 1).bit_length())
@@ -227,15 +245,16 @@ def _promising(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs whose sets reach ``percent``."""
+
+    def compare(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            found = [alike(unpacked(x), unpacked(y), percent) for x, y in zip(batch.ta, batch.tb, strict=True)]
+            yield batch[np.array(found, bool)][["a", "b"]]
+
     a = sets.select(F.col("id").alias("a"), F.col("tokens").alias("ta"))
     b = sets.select(F.col("id").alias("b"), F.col("tokens").alias("tb"))
-    both = F.size(F.array_intersect("ta", "tb"))
-    return (
-        pairs.join(b, "b")
-        .join(a, "a")
-        .where(100 * both >= percent * (F.size("ta") + F.size("tb") - both))
-        .select("a", "b")
-    )
+    both = pairs.join(b, "b").join(a, "a").select("a", "b", "ta", "tb")
+    return both.mapInPandas(compare, "a long, b long")
 
 
 def _blocks(sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
@@ -243,7 +262,7 @@ def _blocks(sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [keys(np.array(t, np.int64).view(np.uint64), percent) for t in batch.tokens]
+            found = [np.frombuffer(k, np.int64) for k in batch["keys"]]
             counts = [len(f) for f in found]
             if sum(counts):
                 yield pd.DataFrame(
@@ -254,9 +273,8 @@ def _blocks(sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
                     }
                 )
 
-    known = sets.join(roots, "id", "left").select(
-        "id", F.coalesce("root", "id").alias("root"), "tokens"
-    )
+    known = sets.select("id", "keys").join(roots, "id", "left")
+    known = known.select("id", F.coalesce("root", "id").alias("root"), "keys")
     members = written(known.mapInPandas(emit, "key long, id long, root long"), "parts")
     per_root = members.groupBy("key", "root").agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("who")
@@ -369,6 +387,26 @@ def _pairs_left(group: pd.DataFrame, percent: int) -> tuple[pd.DataFrame, np.nda
     return group, i[apart], j[apart] + many
 
 
+def _block_by_block(rows: DataFrame, function, schema: str) -> DataFrame:
+    """What ``function`` makes of each block's rows; many small blocks cost one call of Spark's."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for batch in batches:
+            if rest is not None:
+                batch = pd.concat([rest, batch], ignore_index=True)
+            at = np.flatnonzero(np.diff(batch.block.to_numpy())) + 1
+            bounds = [0, *at.tolist()]
+            rest = batch.iloc[bounds[-1] :]  # may go on in the next batch
+            made = [function(batch.iloc[i:j]) for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
+            if made:
+                yield pd.concat(made, ignore_index=True)
+        if rest is not None and len(rest):
+            yield function(rest)
+
+    return rows.repartition("block").sortWithinPartitions("block").mapInPandas(run, schema)
+
+
 def _left(percent: int):
     def members(group: pd.DataFrame) -> pd.DataFrame:
         group, i, j = _pairs_left(group, percent)
@@ -380,7 +418,7 @@ def _left(percent: int):
 def _tree_links(percent: int):
     def links_of(group: pd.DataFrame) -> pd.DataFrame:
         group, i, j = _pairs_left(group, percent)
-        tokens = {k: np.array(group.tokens[k], np.int64) for k in np.union1d(i, j).tolist()}
+        tokens = {k: unpacked(group.tokens[k]) for k in np.union1d(i, j).tolist()}
         root, ids = group.root.tolist(), group.id.tolist()
         parent: dict[int, int] = {}
 
@@ -392,11 +430,9 @@ def _tree_links(percent: int):
         links = []
         for p, q in zip(i.tolist(), j.tolist(), strict=True):
             x, y = top(root[p]), top(root[q])
-            if x != y:
-                both = len(np.intersect1d(tokens[p], tokens[q], assume_unique=True))
-                if (100 + percent) * both >= percent * (len(tokens[p]) + len(tokens[q])):
-                    parent[max(x, y)] = min(x, y)
-                    links.append((ids[p], ids[q]))
+            if x != y and alike(tokens[p], tokens[q], percent):
+                parent[max(x, y)] = min(x, y)
+                links.append((ids[p], ids[q]))
         return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
     return links_of
@@ -407,12 +443,12 @@ def _links_of_trees(sets: DataFrame, roots: DataFrame, percent: int) -> DataFram
     blocks = _blocks(sets, roots, percent)
     names = sets.select("id", "size", "signature")
     kind = "block long, side int, id long, root long"
-    left = written(blocks.join(names, "id").groupBy("block").applyInPandas(_left(percent), kind), "left")
+    left = written(_block_by_block(blocks.join(names, "id"), _left(percent), kind), "left")
     # A pair left in many parts is compared in one of the blocks that have the same members left.
     who = left.groupBy("block").agg(F.bit_xor(F.xxhash64("id", "side")).alias("who"), F.count("*").alias("n"))
     once = written(who.groupBy("who", "n").agg(F.min("block").alias("block")).select("block"), "once")
     rows = small_join(left, once, ["block"]).join(sets.select("id", "size", "signature", "tokens"), "id")
-    links = written(rows.groupBy("block").applyInPandas(_tree_links(percent), "a long, b long"), "links")
+    links = written(_block_by_block(rows, _tree_links(percent), "a long, b long"), "links")
     for table in (blocks, left, once):
         discard(table)
     return links
@@ -453,7 +489,8 @@ def classes(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
                     "id": [set_id(f) for f in found],
                     "size": [len(f) for f in found],
                     "signature": [signature(f) for f in found],
-                    "tokens": [f.view(np.int64) for f in found],
+                    "keys": [keys(f, percent).tobytes() for f in found],
+                    "tokens": [packed(f) for f in found],
                 }
             )
 
@@ -462,16 +499,17 @@ def classes(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
     chosen = written(chosen.groupBy("id").agg(F.min("_q_text").alias("_q_text")), "texts")
     texts = docs.select(F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("_q_text"))
     sets = small_join(texts, chosen.select("_q_text"), ["_q_text"], "left_semi")
-    sets = sets.select("text").mapInPandas(take, "id long, size int, signature binary, tokens array<long>")
-    sets = sets.groupBy("id").agg(*[F.first(c).alias(c) for c in ("size", "signature", "tokens")])
-    sets = written(sets, "sets")
+    sets = sets.select("text").mapInPandas(take, "id long, size int, signature binary, keys binary, tokens binary")
+    sets = sets.groupBy("id").agg(*[F.first(c).alias(c) for c in ("size", "signature", "keys", "tokens")])
+    sets = bucketed(sets, "id")
     links = written(_linked(written(_promising(pairs, sets, percent), "best"), sets, percent), "stars")
     roots = components(links)
     more = _links_of_trees(sets, roots, percent)
     if more.limit(1).count():
         roots = components(links.union(more))
-    for table in (pairs, active, chosen, sets):
+    for table in (pairs, active, chosen):
         discard(table)
+    drop_bucketed(sets)
     found = members.join(roots.select(F.col("id").alias("set_id"), "root"), "set_id", "left")
     return found.drop("_q_text").withColumn("root", F.coalesce("root", "set_id"))
 
