@@ -184,7 +184,7 @@ def gold_update(spark, sf_dir):
     delivered = raw(spark, sf_dir)
     for tables in (delivered, _dearer(delivered)):
         silver.run_silver(spark, lake, tables)
-        run_gold(spark, lake, "upsert")
+        run_gold(spark, lake, "upsert", buckets=8)
     return read_gold(spark, lake, "gold_customer_performance").drop("last_ingested_at")
 
 
