@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakemart.functions.columns import named
-from lakemart.operators.dedup import latest_state
+from lakemart.operators.dedup import latest_state, recency_order
 
 
 def union_batches(*batches: DataFrame) -> DataFrame:
@@ -43,6 +43,58 @@ def apply_corrections(
     return latest_state(union_batches(base, corrections), key, recency)
 
 
+def restated_totals(
+    totals: DataFrame,
+    base: DataFrame,
+    late: DataFrame,
+    key: str,
+    recency: Sequence[str],
+    date_of: Callable[[], Column],
+    date_column: str,
+    measures: Mapping[str, Column],
+) -> DataFrame:
+    """The rows of ``totals`` that late rows change: what they replace taken off, they themselves added.
+
+    ``totals`` holds one row per date with the sums of ``measures`` (expressions over one row, whole
+    numbers or decimals, so that taking off is exact). ``base`` holds the latest state per key. Late rows
+    are reduced to their latest state, which counts only if it is newer than the base's. Each
+    input is read once; of ``base`` only the keys that arrived late meet anything. A date that nothing
+    is left on shows zeros.
+    """
+    columns = [c for c in recency_order(base.columns, [key], recency) if c in late.columns]
+
+    def state(df: DataFrame, name: str) -> DataFrame:
+        return df.select(named(key).alias("_key"), F.struct(*[named(c) for c in columns]).alias(name))
+
+    arrived = state(latest_state(late, key, recency), "_late")
+    both = arrived.join(state(base, "_base"), "_key", "left")
+    newest = F.greatest("_late", "_base")  # skips a NULL base
+    moves = both.where(~F.equal_null(newest, F.col("_base"))).select(
+        F.explode(
+            F.array_compact(
+                F.array(
+                    F.struct(F.lit(1).alias("sign"), newest.alias("row")),
+                    F.when(F.col("_base").isNotNull(), F.struct(F.lit(-1).alias("sign"), F.col("_base").alias("row"))),
+                )
+            )
+        ).alias("m")
+    )
+    rows = moves.select("m.sign", "m.row.*")
+    deltas = rows.groupBy(date_of().alias(date_column)).agg(
+        *[F.sum(F.col("sign") * F.coalesce(m, F.lit(0))).alias(f"_d_{n}") for n, m in measures.items()]
+    )
+    old = totals.select(named(date_column).alias("_date"), *[named(n) for n in measures])
+    joined = deltas.join(old, F.equal_null(named(date_column), F.col("_date")), "left")
+    types = totals.schema
+    return joined.select(
+        date_column,
+        *[
+            (F.coalesce(named(n), F.lit(0)) + F.col(f"_d_{n}")).cast(types[n].dataType).alias(n)
+            for n in measures
+        ],
+    )
+
+
 def restate_dates(
     mart: DataFrame,
     base: DataFrame,

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakemart.functions.aggregates import measure
+from lakemart.functions.aggregates import exact_sum
 from lakemart.functions.columns import named
 
 TOLERANCE = 0.01
@@ -128,9 +128,9 @@ def quality_report(marts: Mapping[str, tuple[DataFrame, str]]) -> DataFrame:
     return _union(one(n, df, key) for n, (df, key) in marts.items())
 
 
-def control_total(df: DataFrame, column: str, scale: int = 2) -> Column:
+def control_total(df: DataFrame, column: str, scale: int = 6) -> Column:
     """The total of a column of ``scale`` decimals as a scalar subquery; 0 for an empty table."""
-    amount = F.coalesce(F.sum(measure(column, scale)).cast("double"), F.lit(0.0))
+    amount = F.coalesce(exact_sum(column, scale).cast("double"), F.lit(0.0))
     return df.agg(F.round(amount, 2).alias("total")).scalar()
 
 

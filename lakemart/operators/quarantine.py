@@ -30,15 +30,16 @@ def classify(raw: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame])
     """Typed rows plus ``quarantine_reason`` (NULL = accepted); superseded rows are gone.
 
     The source is read once. Rejected rows travel through the same aggregate as
-    the valid ones, grouped by their content: its digest in ``_copy`` keeps them apart and
-    spreads rejects with a NULL key over all partitions; exact duplicates become one row with
-    a count, and as many rows again at the end. The digest belongs to the row, not to its place,
-    so a task that runs again can neither lose nor double a reject. Valid rows share one
-    ``_copy`` value and so compete per key.
+    the valid ones, grouped by their content and the partition they came in: the digest in
+    ``_copy`` keeps them apart and spreads rejects with a NULL key, or equal ones, over all
+    partitions; exact duplicates of a partition become one row with a count, and as many rows
+    again at the end. None of this depends on the order of rows, so a task that runs again can
+    neither lose nor double a reject. Valid rows share one ``_copy`` value and so compete per key.
     ``parents`` must be unique on their key, as accepted Silver tables are.
     """
     tagged = conform(raw, spec).withColumn(_RULE, first_broken(spec.all_rules))
-    content = F.sha2(F.to_json(F.struct(*[named(c) for c in tagged.columns])), 256)
+    row = F.to_json(F.struct(*[named(c) for c in tagged.columns]))
+    content = F.concat_ws("/", F.sha2(row, 256), F.spark_partition_id())
     tagged = tagged.withColumn(_COPY, F.when(F.col(_RULE).isNotNull(), content))
     latest = latest_state(tagged, [spec.key, _COPY], spec.recency, counted=_TIMES).drop(_COPY)
     restated = restate(latest, spec, F.col(_RULE).isNull())

@@ -25,6 +25,12 @@ class Rule:
         return F.coalesce(F.expr(self.invalid), F.lit(False))
 
 
+def inexact(column: str, places: int) -> str:
+    """SQL predicate of a double that is no number of so many decimals, NaN and infinity included."""
+    unit, noise = f"1e{places}D", f"greatest(abs({column}) * {2.0**-40!r}D, 1e-{places + 6}D)"
+    return f"{column} IS NOT NULL AND NOT abs(rint({column} * {unit}) / {unit} - {column}) <= {noise}"
+
+
 def invalid_rows(df: DataFrame, rule: Rule) -> DataFrame:
     # A filter drops unknown anyway; the bare predicate can be pushed into the scan.
     return df.where(rule.invalid)

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lakemart.operators.integrity import ForeignKey
-from lakemart.operators.rules import Rule
+from lakemart.operators.rules import Rule, inexact
 from lakemart.plans.spec import Restatement, TableSpec
 
 # Rejection predicates. Zero revenue is valid, zero weight is not.
@@ -23,6 +23,20 @@ INVALID_EVENTS = Rule(
     "OR actual_datetime < scheduled_datetime",
 )
 
+# Measures are summed exactly, as numbers of so many decimals. A value that is none would fail a mart
+# as a whole; its row is rejected instead.
+PLACES = 6
+
+
+def _inexact(*columns: str) -> Rule:
+    return Rule("inexact_measure", " OR ".join(f"({inexact(c, PLACES)})" for c in columns))
+
+
+INEXACT_LOADS = _inexact("weight_lbs", "revenue")
+INEXACT_TRIPS = _inexact(
+    "actual_distance_miles", "actual_duration_hours", "fuel_gallons_used", "idle_time_hours"
+)
+
 # A cancelled load recognises no revenue.
 CANCELLED_REVENUE = Restatement(
     "revenue",
@@ -82,7 +96,7 @@ LOADS = TableSpec(
         "updated_at": "timestamp",
     },
     recency=("updated_at", "load_date"),
-    rules=(INVALID_LOADS,),
+    rules=(INVALID_LOADS, INEXACT_LOADS),
     restatements=(CANCELLED_REVENUE,),
     foreign_keys=(
         ForeignKey("customer_id", "customers", "customer_id", "invalid_customer_fk"),
@@ -101,7 +115,7 @@ TRIPS = TableSpec(
         "updated_at": "timestamp",
     },
     recency=("updated_at", "dispatch_date"),
-    rules=(INVALID_TRIPS,),
+    rules=(INVALID_TRIPS, INEXACT_TRIPS),
     foreign_keys=(
         ForeignKey("load_id", "loads", "load_id", "invalid_load_fk"),
         ForeignKey("driver_id", "drivers", "driver_id", "invalid_driver_fk"),

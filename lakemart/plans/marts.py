@@ -12,9 +12,10 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakemart.functions.aggregates import count_true, mean, measure, total
+from lakemart.functions.aggregates import count_true, exact_sum, mean, total
 from lakemart.functions.columns import event_date, full_name, guarded_ratio, pct, ratio
 from lakemart.operators.joins import enrich, preaggregate_join, summarize
+from lakemart.plans.logistics import PLACES
 
 Tables = Mapping[str, DataFrame]
 
@@ -60,17 +61,15 @@ DAILY_COLUMNS = (
     "event_date", "total_events", "on_time_events", "on_time_rate", "avg_detention_minutes",
 )
 
-# Decimals that measures are stated with. Their sums are exact; a value with more decimals fails the
-# mart. A measure that is not listed is added up as a double.
-SCALES = {
-    "revenue": 2,
-    "weight_lbs": 6,
-    "detention_minutes": 6,
-    "actual_distance_miles": 6,
-    "actual_duration_hours": 6,
-    "fuel_gallons_used": 6,
-    "idle_time_hours": 6,
-}
+# Decimals that measures are stated with. Their sums are exact; Silver rejects values with more.
+# A measure that is not listed is added up as a double.
+SCALES = dict.fromkeys(
+    (
+        "revenue", "weight_lbs", "detention_minutes", "actual_distance_miles", "actual_duration_hours",
+        "fuel_gallons_used", "idle_time_hours",
+    ),
+    PLACES,
+)
 
 CUSTOMER_ATTRIBUTES = ("customer_name", "customer_type", "account_status")
 ROUTE_ENDS = ("origin_city", "origin_state", "destination_city", "destination_state")
@@ -192,7 +191,7 @@ def route_performance(t: Tables) -> DataFrame:
     }
     parts = {"_trips": F.count("*")}
     for column in measures.values():
-        parts[f"_sum_{column}"] = F.sum(measure(column, SCALES[column]))
+        parts[f"_sum_{column}"] = exact_sum(column, SCALES[column])
         parts[f"_count_{column}"] = F.count(column)
     per_load = enrich(summarize(trips, "load_id", **parts), t["loads"], "load_id", "route_id")
     averages = {

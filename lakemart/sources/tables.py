@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakemart.functions.columns import named
 from lakemart.operators.dedup import latest_state
 from lakemart.sources.versions import Version, current
 
@@ -69,6 +70,23 @@ def read_catalog(
     return latest_state(df, key, recency) if key else df
 
 
+def read_unique(spark: SparkSession, name: str, key: str) -> DataFrame:
+    """A catalog table whose key must be unique, guarded while it is read.
+
+    In a table bucketed and sorted by its key (``sinks.tables.create_bucketed``) the rows of a key
+    stand next to each other in one file, so the guard needs no shuffle; otherwise it costs one. A
+    repeated key ends the query that reads it, so nothing is published from such a table. NULL
+    is no key and refused as well.
+    """
+    df = spark.table(name)
+    number = F.row_number().over(Window.partitionBy(named(key)).orderBy(named(key)))
+    problem = F.concat(F.lit(f"{name}: repeated or missing {key} "), F.coalesce(named(key).cast("string"), F.lit("")))
+    first = (F.col("_number") == 1) & named(key).isNotNull()
+    # a filter, which stays in the plan whatever columns are asked for
+    sound = F.when(first, F.lit(True)).otherwise(F.raise_error(problem).cast("boolean"))
+    return df.withColumn("_number", number).where(sound).drop("_number")
+
+
 def read_gold(spark: SparkSession, lake: str, mart: str) -> DataFrame:
     """A published mart, without the folder that an upsert keeps its rows in."""
     return read_path(spark, f"{lake}/gold/{mart}").drop("key_bucket")

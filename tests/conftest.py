@@ -20,7 +20,6 @@ def spark():
             "spark.ui.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
             "spark.driver.memory": "4g",
-            "spark.sql.codegen.wholeStage": "false",
         },
     )
     session.sparkContext.setLogLevel("ERROR")

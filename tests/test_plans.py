@@ -2,17 +2,21 @@
 
 from __future__ import annotations
 
+import datetime
 import io
 from contextlib import contextmanager, redirect_stdout
 
 import pytest
 from pyspark.sql import functions as F
 
+from lakemart.operators import batches as late
 from lakemart.operators import dedup, integrity, joins
 from lakemart.operators.quarantine import classify
 from lakemart.operators.rules import Rule, invalid_rows, present_key
 from lakemart.plans import marts
 from lakemart.plans.logistics import TRIPS
+from lakemart.sinks.tables import create_bucketed
+from lakemart.sources.tables import read_unique
 from workload import batches, checks, files, rows
 from workload import columns as scalar
 from workload import marts as mart_queries
@@ -128,9 +132,9 @@ def test_hot_primary_key_is_reduced_before_the_shuffle(spark):
 
 
 def test_rejects_without_key_spread_over_partitions(spark):
-    """NULL keys do not meet in one task: each reject is its own group."""
+    """NULL keys do not meet in one task: rejects are grouped by content and incoming partition."""
     trips = spark.range(0, 4000, 1, 4).selectExpr(
-        "CAST(NULL AS STRING) AS trip_id", "'l' AS load_id", "'d' AS driver_id",
+        "CAST(NULL AS STRING) AS trip_id", "CAST(id AS STRING) AS load_id", "'d' AS driver_id",
         "'t' AS truck_id", "'x' AS dispatch_date", "'1' AS actual_distance_miles",
         "'1' AS actual_duration_hours", "'1' AS fuel_gallons_used", "'1' AS idle_time_hours",
     )
@@ -140,6 +144,10 @@ def test_rejects_without_key_spread_over_partitions(spark):
         sizes = classified.groupBy(F.spark_partition_id()).count().collect()
     assert sum(r[1] for r in sizes) == 4000
     assert max(r[1] for r in sizes) < 2000
+    # Equal rejects meet in one group per incoming partition at most, as one row with a count.
+    equal = classify(trips.withColumn("load_id", F.lit("l")), TRIPS, {"loads": one, "drivers": one, "trucks": one})
+    assert equal.count() == 4000
+    assert "partial_count" in plan(equal)
 
 
 def test_mart_scans_are_narrow(spark):
@@ -208,3 +216,51 @@ def test_marts_are_lazy(spark, frame):
     spark.sparkContext.setJobGroup("lazy", "no job may start")
     marts.daily_operations({"delivery_events": events})
     assert list(tracker.getJobIdsForGroup("lazy")) == []
+
+
+def test_late_deltas_read_each_input_once(spark, frame, tmp_path, rows):
+    kind = "k string, at date, n int"
+    day = datetime.date
+    inputs = {
+        "base": [("a", day(2026, 1, 1), 1), ("b", day(2026, 1, 1), 2), ("c", day(2026, 1, 2), 4), ("e", day(2026, 1, 9), 5)],
+        # a moves on, b is an older version, d is new, e's last version is repeated, c is corrected
+        "late": [
+            ("a", day(2026, 1, 3), 1), ("b", day(2025, 12, 31), 9), ("d", day(2026, 1, 1), None),
+            ("e", day(2026, 1, 9), 5), ("c", day(2026, 1, 2), 5), ("c", day(2026, 1, 2), 3),
+        ],
+        "totals": [(day(2026, 1, 1), 2, 3), (day(2026, 1, 2), 1, 4), (day(2026, 1, 9), 1, 5)],
+    }
+    for name, data in inputs.items():
+        schema = "at date, events long, total long" if name == "totals" else kind
+        spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}")
+    read = {n: spark.read.parquet(f"{tmp_path}/{n}") for n in inputs}
+    measures = {"events": F.lit(1).cast("long"), "total": F.col("n").cast("long")}
+    found = late.restated_totals(
+        read["totals"], read["base"], read["late"], "k", ["at"], lambda: F.col("at"), "at", measures
+    )
+    assert rows(found, "at", "events", "total") == [
+        (day(2026, 1, 1), 2, 2), (day(2026, 1, 2), 1, 5), (day(2026, 1, 3), 1, 1)
+    ]
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 3
+    empty = late.restated_totals(
+        read["totals"], read["base"], read["late"].limit(0), "k", ["at"], lambda: F.col("at"), "at", measures
+    )
+    assert empty.collect() == []
+
+
+def test_grain_guard_without_a_shuffle(spark, frame, tmp_path):
+    sound = frame("k long, v string", *[(i, "x") for i in range(50)])
+    create_bucketed(sound, "guard_sound", "k", 4, str(tmp_path / "sound"))
+    create_bucketed(sound.union(sound.limit(1)), "guard_repeated", "k", 4, str(tmp_path / "repeated"))
+    create_bucketed(sound.union(frame("k long, v string", (None, "y"))), "guard_null", "k", 4, str(tmp_path / "null"))
+    try:
+        guarded = read_unique(spark, "guard_sound", "k")
+        assert guarded.count() == 50 and guarded.columns == ["k", "v"]
+        assert "Exchange" not in guarded._jdf.queryExecution().executedPlan().toString()
+        for name in ("guard_repeated", "guard_null"):
+            with pytest.raises(Exception, match="repeated or missing k"):
+                read_unique(spark, name, "k").select("v").collect()
+    finally:
+        for name in ("guard_sound", "guard_repeated", "guard_null"):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")

@@ -188,3 +188,17 @@ def test_versions_read_as_they_were(spark, delivered, tmp_path, rows):
     silver.run_silver(spark, lake, {"customers": delivered["customers"].where("trim(customer_id) = 'C1'")}, dims)
     assert len(rows(read_version(spark, lake, old, "customers"))) == 2
     assert len(rows(read_silver(spark, lake, "customers"))) == 1
+
+
+def test_inexact_measures_are_rejected(spark, delivered, tmp_path, rows):
+    lake = str(tmp_path / "lake")
+    fuel = F.when(F.col("trip_id") == "P6", "1.1234567").otherwise(F.col("fuel_gallons_used"))
+    revenue = F.when(F.col("load_id") == "L6", "Infinity").otherwise(F.col("revenue"))
+    changed = {
+        **delivered,
+        "trips": delivered["trips"].withColumn("fuel_gallons_used", fuel),
+        "loads": delivered["loads"].withColumn("revenue", revenue),
+    }
+    outcomes = {(r.table_name, r.outcome): r.row_count for r in silver.run_silver(spark, lake, changed).collect()}
+    assert outcomes["loads", "inexact_measure"] == 1 and outcomes["trips", "inexact_measure"] == 1
+    assert gold.run_gold(spark, lake).first().status == "PASS"

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lakemart.functions.columns import event_date, restate_cancelled
+from lakemart.functions.columns import event_date, pct, restate_cancelled
 from lakemart.operators import batches, crosswalk, integrity
 from lakemart.operators.quarantine import QUARANTINED_AT, accepted, rejected
 from lakemart.plans import marts, silver
 from lakemart.session import work_path
 from lakemart.sinks import tables
 from lakemart.sinks.quarantine import defect_audit, read_quarantine
-from lakemart.sources.tables import read_path, read_silver
+from lakemart.sources.tables import read_path, read_silver, read_unique
 from workload.marts import CUSTOMER, daily_sql
 from workload.oracle_roles import SILVER, with_roles
 from workload.roles import customers, loads, raw, scans, table, trips, typed
@@ -192,6 +192,46 @@ def late_event_restatement(spark, sf_dir):
     )
 
 
+def late_event_deltas(spark, sf_dir):
+    """The same late events as sums per date: deltas only, written to the months they fall in."""
+    events = scans(spark, sf_dir)
+    moved = F.when(
+        F.col("user_id") % 10 == 0, F.col("actual_datetime") + F.expr("INTERVAL 1 DAY")
+    ).otherwise(F.col("actual_datetime"))
+    late = events.where("NOT on_time_flag OR user_id % 10 = 0").withColumn("actual_datetime", moved)
+    base = events.where("on_time_flag")
+    date = event_date("actual_datetime")
+    measures = {
+        "total_events": F.lit(1).cast("long"),
+        "on_time_events": F.col("on_time_flag").cast("long"),
+        "detention": F.col("detention_minutes").cast("decimal(28,6)"),
+        "detained": F.col("detention_minutes").isNotNull().cast("long"),
+    }
+    target = work_path(spark, "daily_totals")
+    month = F.date_format("event_date", "yyyy-MM").alias("month")
+    totals = base.groupBy(date.alias("event_date")).agg(*[F.sum(m).alias(n) for n, m in measures.items()])
+    tables.replace(totals.select("*", month), target, ["month"])
+    changed = batches.restated_totals(
+        read_path(spark, target), base, late, "event_id", ["actual_datetime"],
+        lambda: event_date("actual_datetime"), "event_date", measures,
+    )
+    tables.upsert_partitions(changed.select("*", month), target, "event_date", "month", follows=True)
+    mean = F.try_divide(F.col("detention").cast("double"), F.col("detained"))
+    return read_path(spark, target).where("total_events > 0").select(
+        "event_date", "total_events", "on_time_events",
+        pct("on_time_events", "total_events").alias("on_time_rate"), mean.alias("avg_detention_minutes"),
+    )
+
+
+def grain_guard(spark, sf_dir):
+    """Silver trips from a table dealt by their key, guarded while they are read."""
+    lake, _ = _published(spark, sf_dir, *TRIP_TABLES)
+    folder = work_path(spark, "trips_by_key")
+    name = folder.rpartition("/")[2].replace("-", "_")
+    tables.create_bucketed(read_silver(spark, lake, "trips", "trip_id", ["dispatch_date"]), name, "trip_id", 8, folder)
+    return read_unique(spark, name, "trip_id")
+
+
 def batch_union(spark, sf_dir):
     """Two batches, one without a status column."""
     orders = table(spark, sf_dir, "orders")
@@ -299,6 +339,8 @@ QUERIES = {
         correction_restatement,
         redelivery_idempotent,
         late_event_restatement,
+        late_event_deltas,
+        grain_guard,
         batch_union,
         set_difference,
         upsert,
@@ -411,6 +453,8 @@ ORACLE["late_event_restatement"] = with_roles(
         "(PARTITION BY event_id ORDER BY actual_datetime DESC) = 1",
     },
 )
+ORACLE["late_event_deltas"] = ORACLE["late_event_restatement"]
+ORACLE["grain_guard"] = with_roles("SELECT * FROM silver_trips")
 ORACLE["batch_union"] = """
     SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders WHERE o_orderstatus = 'F'
     UNION ALL
