@@ -9,12 +9,14 @@ from pyspark.sql import functions as F
 
 from lakemart.operators import profiles, quality
 from lakemart.operators.batches import union_batches
+from lakemart.operators.quarantine import QUARANTINED_AT, REASON
 from lakemart.operators.rules import violation_counts
 from lakemart.plans import gold, marts, silver
 from lakemart.plans.gold import run_gold, validate_gold
 from lakemart.plans.logistics import STRICT_CHECKS
 from lakemart.plans.run import published_gate, silver_gate
 from lakemart.session import work_path
+from lakemart.sinks.quarantine import read_quarantine
 from lakemart.sources.tables import read_gold, read_silver
 from workload.marts import (
     CUSTOMER,
@@ -178,6 +180,37 @@ def _dearer(tables):
     return {**tables, "loads": tables["loads"].withColumn("revenue", revenue)}
 
 
+def grain_check_all(spark, sf_dir):
+    """All eight published marts and all eight Silver tables keep their grain."""
+    lake = work_path(spark, "lake")
+    silver.run_silver(spark, lake, raw(spark, sf_dir))
+    run_gold(spark, lake)
+    published = {n: (read_gold(spark, lake, n), m.key) for n, m in marts.MARTS.items()}
+    tables = {n: (read_silver(spark, lake, n), s.key) for n, s in silver.SPECS.items()}
+    return quality.grain_check({**published, **tables})
+
+
+def key_assertions_all(spark, sf_dir):
+    """Missing and repeated keys of all eight tables as they arrive."""
+    arrived = typed(spark, sf_dir)
+    return quality.key_assertions({n: (arrived[n], s.key) for n, s in silver.SPECS.items()})
+
+
+def conservation_all(spark, sf_dir):
+    """Every arrived row of all eight tables is in Silver, in quarantine or superseded."""
+    lake = work_path(spark, "lake")
+    arrived = raw(spark, sf_dir)
+    silver.run_silver(spark, lake, arrived)
+    rejects = read_quarantine(spark, f"{lake}/quarantine", silver.SPECS)
+    reports = []
+    for name in silver.SPECS:
+        rows = read_silver(spark, lake, name).withColumn(REASON, F.lit(None).cast("string"))
+        if name in rejects:
+            rows = rows.unionByName(rejects[name].drop(QUARANTINED_AT))
+        reports.append(silver.conservation(arrived[name], rows, name))
+    return union_batches(*reports)
+
+
 def gold_update(spark, sf_dir):
     """The customer mart after a second delivery; Gold is brought up to date by key."""
     lake = work_path(spark, "lake")
@@ -209,6 +242,9 @@ QUERIES = {
     for f in (
         gold_update,
         silver_all_or_none,
+        grain_check_all,
+        key_assertions_all,
+        conservation_all,
         grain_check,
         key_assertions,
         quality_report,
@@ -435,6 +471,34 @@ ORACLE = {
                CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM trips) AS relative_frequency
         FROM trips GROUP BY 1"""
     ),
+    "grain_check_all": with_roles(
+        " UNION ALL ".join(
+            [_grain(n, _on_silver(sql), key) for n, (sql, key, *_) in _PUBLISHED.items()]
+            + [_grain(n, f"SELECT * FROM silver_{n}", s.key) for n, s in silver.SPECS.items()]
+        )
+    ),
+    "key_assertions_all": with_roles(
+        " UNION ALL ".join(
+            f"""
+        SELECT '{n}' AS table_name, count(*) FILTER (WHERE {s.key} IS NULL) AS null_keys,
+               (SELECT count(*) FROM (SELECT {s.key} FROM {n} GROUP BY {s.key} HAVING count(*) > 1))
+                   AS duplicate_keys,
+               CASE WHEN count(*) = count(DISTINCT {s.key}) THEN 'PASS' ELSE 'FAIL' END AS status
+        FROM {n}"""
+            for n, s in silver.SPECS.items()
+        )
+    ),
+    "conservation_all": with_roles(
+        " UNION ALL ".join(
+            f"""
+        SELECT '{n}' AS table_name, (SELECT count(*) FROM {n}) AS bronze_rows,
+               count(*) FILTER (WHERE quarantine_reason IS NULL) AS silver_rows,
+               count(*) FILTER (WHERE quarantine_reason IS NOT NULL) AS quarantined_rows,
+               (SELECT count(*) FROM {n}) - count(*) AS superseded_rows
+        FROM classified_{n}"""
+            for n in SILVER
+        )
+    ),
     "gold_update": with_roles(
         _on_silver(CUSTOMER).replace("silver_loads", "dearer_loads"),
         {
