@@ -17,7 +17,7 @@ from lakemart.sinks.reports import write_report
 from lakemart.sources.ranges import Quoting
 from lakemart.sources.raw import read_bronze
 from lakemart.sources.tables import ACCEPTED
-from lakemart.sources.versions import current, new_run, publish
+from lakemart.sources.versions import current, new_run, publish, versions
 
 
 def classify_all(
@@ -43,6 +43,7 @@ def run_silver(
     raw: Mapping[str, DataFrame] | None = None,
     specs: Mapping[str, TableSpec] = SPECS,
     quoting: Quoting = Quoting(),
+    dealt: Mapping[str, tuple[str, int]] | None = None,
 ) -> DataFrame:
     """Build all Silver tables, then publish them together; returns rows per table and outcome.
 
@@ -50,6 +51,10 @@ def run_silver(
     lineage: children check their keys against Parquet, and a lost executor costs the
     running table only. Tables whose parents are written are built side by side. Readers see
     the former tables until all are written (``versions``): if one fails, none changes.
+
+    ``dealt`` names tables with a join key and a number of buckets: their files are dealt and sorted by
+    it and known to the session's catalog, so that marts join and sum them without a shuffle of
+    theirs. A session whose catalog does not know them reads the same files plainly.
     """
     published: dict[str, DataFrame] = {}
     layer = f"{lake}/silver"
@@ -60,21 +65,30 @@ def run_silver(
         batch = raw[name] if raw is not None else read_bronze(spark, lake, name, quoting=quoting)
         classified = classify(batch, specs[name], published)
         path = f"{folder}/{name}"
-        write_classified(classified, path)
+        table, by = None, (dealt or {}).get(name)
+        if by is not None:
+            table = f"silver_{name}_{name_of(folder)}"
+        write_classified(classified, path, table, *(by or ()))
         counts = outcome_counts(spark, path, classified.schema, name).collect()
         rejected = any(r.outcome != ACCEPTED for r in counts)
         run, schema = name_of(folder), classified.schema
-        noted[name] = {"run": run, "schema": schema.jsonValue(), "rejected": rejected}
+        noted[name] = {"run": run, "schema": schema.jsonValue(), "rejected": rejected, "table": table}
         written = spark.read.schema(schema).parquet(path)
         return written.where(F.col(REASON) == ACCEPTED).drop(REASON), [tuple(r) for r in counts]
 
     try:
         counts = _build_in_order(spark, specs, published, build)
     except Exception:
+        for name in dealt or {}:
+            spark.sql(f"DROP TABLE IF EXISTS silver_{name}_{name_of(folder)}")
         delete(spark, folder)
         raise
+    former = list(versions(spark, layer))
     built_from = current(spark, f"{lake}/gold")
     publish(spark, layer, folder, noted, keep=[built_from.tables["silver"]["of"]] if built_from else ())
+    kept = {t.get("table") for v in versions(spark, layer) for t in v.tables.values()}
+    for table in {t.get("table") for v in former for t in v.tables.values()} - kept:
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
     outcomes = spark.createDataFrame(
         counts, "table_name string, outcome string, row_count long"
     )

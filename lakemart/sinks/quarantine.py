@@ -15,10 +15,19 @@ from lakemart.sources.tables import ACCEPTED, read_version
 from lakemart.sources.versions import current
 
 
-def write_classified(classified: DataFrame, path: str) -> None:
-    """Write a classified batch once, as one partition per outcome; it is never moved."""
-    outcome = F.coalesce(F.col(REASON), F.lit(ACCEPTED))
-    classified.withColumn(REASON, outcome).write.partitionBy(REASON).parquet(path)
+def write_classified(
+    classified: DataFrame, path: str, table: str | None = None, key: str | None = None, buckets: int = 0
+) -> None:
+    """Write a classified batch once, as one partition per outcome; it is never moved.
+
+    With ``table`` the same files are known to the catalog by that name, dealt and sorted by ``key``.
+    """
+    rows = classified.withColumn(REASON, F.coalesce(F.col(REASON), F.lit(ACCEPTED)))
+    if table is None:
+        rows.write.partitionBy(REASON).parquet(path)
+        return
+    dealt = rows.repartition(buckets, key).write.format("parquet").partitionBy(REASON).bucketBy(buckets, key)
+    dealt.sortBy(key).option("path", path).saveAsTable(table)
 
 
 def outcome_counts(spark: SparkSession, staged: str, schema: StructType, table: str) -> DataFrame:

@@ -202,3 +202,34 @@ def test_inexact_measures_are_rejected(spark, delivered, tmp_path, rows):
     outcomes = {(r.table_name, r.outcome): r.row_count for r in silver.run_silver(spark, lake, changed).collect()}
     assert outcomes["loads", "inexact_measure"] == 2 and outcomes["trips", "inexact_measure"] == 1
     assert gold.run_gold(spark, lake).first().status == "PASS"
+
+
+def test_dealt_facts_are_joined_where_they_lie(spark, delivered, tmp_path, rows):
+    lake = str(tmp_path / "lake")
+    dealt = {"loads": ("load_id", 4), "trips": ("trip_id", 4), "delivery_events": ("load_id", 4)}
+    for _ in range(3):
+        silver.run_silver(spark, lake, delivered, dealt=dealt)
+    names = [t.name for t in spark.catalog.listTables() if t.name.startswith("silver_loads_")]
+    assert len(names) == versions.KEPT  # tables of versions that are gone are dropped
+    tables = {n: read_silver(spark, lake, n) for n in SPECS}
+    plain = {n: spark.createDataFrame(df.collect(), df.schema) for n, df in tables.items()}
+    limit = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = tables["delivery_events"].join(tables["loads"], "load_id", "left")
+        assert "Exchange" not in joined._jdf.queryExecution().executedPlan().toString()
+        mart = MARTS["gold_delivery_performance"].build(tables)
+        plan = mart._jdf.queryExecution().executedPlan().toString()
+        # events move to the trips, trips and loads stay; facilities are plain
+        assert plan.count("Exchange hashpartitioning(trip_id") == 1
+        assert "Exchange hashpartitioning(load_id" not in plan
+        assert rows(mart) == rows(MARTS["gold_delivery_performance"].build(plain))
+        per_load = tables["delivery_events"].groupBy("load_id").count()
+        assert "Exchange" not in per_load._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", limit)
+        for t in spark.catalog.listTables():
+            if t.name.startswith("silver_"):
+                spark.sql(f"DROP TABLE {t.name}")
+    # without the catalog the same files are read
+    assert rows(read_silver(spark, lake, "loads")) == rows(plain["loads"])

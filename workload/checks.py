@@ -180,6 +180,14 @@ def _dearer(tables):
     return {**tables, "loads": tables["loads"].withColumn("revenue", revenue)}
 
 
+def delivery_mart_dealt(spark, sf_dir):
+    """The widest mart from Silver facts that are dealt by the keys they are joined by."""
+    lake = work_path(spark, "lake")
+    dealt = {"loads": ("load_id", 8), "trips": ("trip_id", 8), "delivery_events": ("load_id", 8)}
+    silver.run_silver(spark, lake, raw(spark, sf_dir), dealt=dealt)
+    return marts.delivery_performance({n: read_silver(spark, lake, n) for n in silver.SPECS})
+
+
 def grain_check_all(spark, sf_dir):
     """All eight published marts and all eight Silver tables keep their grain."""
     lake = work_path(spark, "lake")
@@ -242,6 +250,7 @@ QUERIES = {
     for f in (
         gold_update,
         silver_all_or_none,
+        delivery_mart_dealt,
         grain_check_all,
         key_assertions_all,
         conservation_all,
@@ -471,6 +480,7 @@ ORACLE = {
                CAST(count(*) AS DOUBLE) / (SELECT count(*) FROM trips) AS relative_frequency
         FROM trips GROUP BY 1"""
     ),
+    "delivery_mart_dealt": with_roles(_on_silver(DELIVERY)),
     "grain_check_all": with_roles(
         " UNION ALL ".join(
             [_grain(n, _on_silver(sql), key) for n, (sql, key, *_) in _PUBLISHED.items()]
