@@ -210,6 +210,8 @@ def signature(tokens: np.ndarray) -> bytes:
 def even(signatures: list[bytes]) -> np.ndarray:
     """Bitmaps folded to the least width among them, as rows of words."""
     least = min(map(len, signatures))
+    if max(map(len, signatures)) == least:
+        return np.frombuffer(b"".join(signatures), np.uint64).reshape(-1, least // 8)
     out = np.zeros((len(signatures), least // 8), np.uint64)
     for row, s in zip(out, signatures, strict=True):
         row[:] = np.bitwise_or.reduce(np.frombuffer(s, np.uint64).reshape(-1, least // 8), axis=0)
@@ -373,53 +375,61 @@ def descend(x: Tree, y: Tree, percent: int) -> tuple[np.ndarray, np.ndarray]:
             i, j = i[ok], child[ok]
 
 
-def _pairs_left(group: pd.DataFrame, percent: int) -> tuple[pd.DataFrame, np.ndarray, np.ndarray]:
-    """The block's rows in order, and the pairs of rows that its two trees leave."""
-    group = group.sort_values(["side", "root", "id"], ignore_index=True)
-    many = int((group.side == 0).sum())
-    if not 0 < many < len(group):
-        return group, np.zeros(0, np.int64), np.zeros(0, np.int64)
-    bits, size, root = even(list(group.signature)), group["size"].to_numpy(np.int64), group.root.to_numpy()
+Rows = dict[str, np.ndarray]  # columns of one block, by side, root and id
+
+
+def _pairs_left(rows: Rows, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of rows of a block that its two trees leave."""
+    many = int(np.searchsorted(rows["side"], 1))
+    root, size = rows["root"], rows["size"].astype(np.int64)
+    if not 0 < many < len(root):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    bits = even(rows["signature"].tolist())
     i, j = descend(
         Tree(bits[:many], size[:many], root[:many]), Tree(bits[many:], size[many:], root[many:]), percent
     )
     apart = root[i] != root[j + many]
-    return group, i[apart], j[apart] + many
+    return i[apart], j[apart] + many
 
 
-def _block_by_block(rows: DataFrame, function, schema: str) -> DataFrame:
-    """What ``function`` makes of each block's rows; many small blocks cost one call of Spark's."""
+def _block_by_block(df: DataFrame, function, schema: str) -> DataFrame:
+    """What ``function`` makes of each block's rows (columns); many small blocks share a call of Spark's."""
+    names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for batch in batches:
             if rest is not None:
                 batch = pd.concat([rest, batch], ignore_index=True)
-            at = np.flatnonzero(np.diff(batch.block.to_numpy())) + 1
-            bounds = [0, *at.tolist()]
+            columns = {c: batch[c].to_numpy() for c in batch.columns}
+            bounds = [0, *(np.flatnonzero(np.diff(columns["block"])) + 1).tolist()]
             rest = batch.iloc[bounds[-1] :]  # may go on in the next batch
-            made = [function(batch.iloc[i:j]) for i, j in zip(bounds[:-1], bounds[1:], strict=True)]
-            if made:
-                yield pd.concat(made, ignore_index=True)
+            yield from put([{c: x[i:j] for c, x in columns.items()} for i, j in zip(bounds, bounds[1:], strict=False)])
         if rest is not None and len(rest):
-            yield function(rest)
+            yield from put([{c: rest[c].to_numpy() for c in rest.columns}])
+
+    def put(blocks: list[Rows]) -> Iterator[pd.DataFrame]:
+        made = [m for m in map(function, blocks) if len(m[0])]
+        if made:
+            yield pd.DataFrame({n: np.concatenate(x) for n, x in zip(names, zip(*made, strict=True), strict=True)})
 
-    return rows.repartition("block").sortWithinPartitions("block").mapInPandas(run, schema)
+    return df.repartition("block").sortWithinPartitions("block", "side", "root", "id").mapInPandas(run, schema)
 
 
 def _left(percent: int):
-    def members(group: pd.DataFrame) -> pd.DataFrame:
-        group, i, j = _pairs_left(group, percent)
-        return group.iloc[np.union1d(i, j)][["block", "side", "id", "root"]]
+    def members(rows: Rows) -> list[np.ndarray]:
+        i, j = _pairs_left(rows, percent)
+        at = np.union1d(i, j)
+        return [rows[c][at] for c in ("block", "side", "id", "root")]
 
     return members
 
 
 def _tree_links(percent: int):
-    def links_of(group: pd.DataFrame) -> pd.DataFrame:
-        group, i, j = _pairs_left(group, percent)
-        tokens = {k: unpacked(group.tokens[k]) for k in np.union1d(i, j).tolist()}
-        root, ids = group.root.tolist(), group.id.tolist()
+    def links_of(rows: Rows) -> list[np.ndarray]:
+        i, j = _pairs_left(rows, percent)
+        tokens = {k: unpacked(rows["tokens"][k]) for k in np.union1d(i, j).tolist()}
+        root, ids = rows["root"].tolist(), rows["id"]
         parent: dict[int, int] = {}
 
         def top(node: int) -> int:
@@ -432,8 +442,9 @@ def _tree_links(percent: int):
             x, y = top(root[p]), top(root[q])
             if x != y and alike(tokens[p], tokens[q], percent):
                 parent[max(x, y)] = min(x, y)
-                links.append((ids[p], ids[q]))
-        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+                links.append((p, q))
+        at = np.array(links, np.int64).reshape(-1, 2)
+        return [ids[at[:, 0]], ids[at[:, 1]]]
 
     return links_of
 
