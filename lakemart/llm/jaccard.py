@@ -112,7 +112,11 @@ def parts_of(j: int, percent: int) -> tuple[int, int]:
 
 
 def keys(tokens: np.ndarray, percent: int) -> np.ndarray:
-    """Hashes of the parts by which a set meets all sets at ``percent`` or more."""
+    """Hashes of the parts by which a set meets all sets at ``percent`` or more.
+
+    They follow from the bytes of the tokens that ``packed`` keeps.
+    """
+    tokens = tokens & np.uint64((1 << 8 * PACKED) - 1)
     size = len(tokens)
     if not size:
         return np.zeros(0, np.int64)
@@ -264,7 +268,7 @@ def _blocks(sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
 
     def emit(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [np.frombuffer(k, np.int64) for k in batch["keys"]]
+            found = [keys(unpacked(t), percent) for t in batch.tokens]
             counts = [len(f) for f in found]
             if sum(counts):
                 yield pd.DataFrame(
@@ -275,8 +279,8 @@ def _blocks(sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
                     }
                 )
 
-    known = sets.select("id", "keys").join(roots, "id", "left")
-    known = known.select("id", F.coalesce("root", "id").alias("root"), "keys")
+    known = sets.select("id", "tokens").join(roots, "id", "left")
+    known = known.select("id", F.coalesce("root", "id").alias("root"), "tokens")
     members = written(known.mapInPandas(emit, "key long, id long, root long"), "parts")
     per_root = members.groupBy("key", "root").agg(
         F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("who")
@@ -500,7 +504,6 @@ def classes(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
                     "id": [set_id(f) for f in found],
                     "size": [len(f) for f in found],
                     "signature": [signature(f) for f in found],
-                    "keys": [keys(f, percent).tobytes() for f in found],
                     "tokens": [packed(f) for f in found],
                 }
             )
@@ -510,8 +513,8 @@ def classes(docs: DataFrame, text: str, k: int, percent: int) -> DataFrame:
     chosen = written(chosen.groupBy("id").agg(F.min("_q_text").alias("_q_text")), "texts")
     texts = docs.select(F.col(text).alias("text"), F.xxhash64(F.col(text)).alias("_q_text"))
     sets = small_join(texts, chosen.select("_q_text"), ["_q_text"], "left_semi")
-    sets = sets.select("text").mapInPandas(take, "id long, size int, signature binary, keys binary, tokens binary")
-    sets = sets.groupBy("id").agg(*[F.first(c).alias(c) for c in ("size", "signature", "keys", "tokens")])
+    sets = sets.select("text").mapInPandas(take, "id long, size int, signature binary, tokens binary")
+    sets = sets.groupBy("id").agg(*[F.first(c).alias(c) for c in ("size", "signature", "tokens")])
     sets = bucketed(sets, "id")
     links = written(_linked(written(_promising(pairs, sets, percent), "best"), sets, percent), "stars")
     roots = components(links)
