@@ -81,7 +81,8 @@ def op9_quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document without the bytes of 400-byte strings that start anywhere else, too."""
-    return suffix.remove(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    removed = suffix.remove(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return removed.withColumn("repeated", F.col("n_removed") > 0)
 
 
 def op5_prefix_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
