@@ -1,8 +1,8 @@
 """Secrets in a text and in what is encoded in it.
 
 A worklist of layers starts with the text itself. Each layer is scanned; what in it is encoded by
-URL escapes, Unicode escapes, base64 or base64 of compressed bytes is decoded to a new layer that
-knows, for each of its characters, the place in the text that it came from. Bytes that are no UTF-8
+URL escapes, Unicode escapes, base64 (in one line or broken into lines of one length) or base64 of
+compressed bytes is decoded to a new layer that knows, for each of its characters, the place in the text that it came from. Bytes that are no UTF-8
 become placeholders, one for each, and other characters of any kind stay. A layer seen before at
 the same place is not taken again, so the list ends even if something decodes to itself. Compressed
 bytes are inflated to their end, all members, in pieces that end where no match can go on; a piece
@@ -42,6 +42,9 @@ BASE64 = (  # both alphabets; a run that mixes them is split by each
     re.compile(r"[A-Za-z0-9+/]{16,}={0,2}"),
     re.compile(r"[A-Za-z0-9_-]{16,}={0,2}"),
 )
+#: Lines that may be one run broken at equal lengths, with blanks in front of them or not.
+WRAPPED = re.compile(r"[A-Za-z0-9+/_-]{16,}(?:\r?\n[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
+LINE = re.compile(r"[A-Za-z0-9+/_-]+={0,2}")
 CHUNK = 1 << 20  # bytes inflated at once
 # What any secret has, also one encoded once more: as many of these as a value has characters.
 LONG = re.compile(rb"[A-Za-z0-9+/_.=%\\-]{12}")
@@ -218,20 +221,41 @@ def _pieces(chunks: Iterable[bytes]) -> Iterator[bytes]:
     yield b"".join(held)
 
 
+def _wrapped(text: str) -> Iterator[list[tuple[int, int]]]:
+    """Runs over several lines: all of the first one's length, but for a last one that may be shorter."""
+    if "\n" not in text:
+        return
+    for m in WRAPPED.finditer(text):
+        lines = [x.span() for x in LINE.finditer(text, m.start(), m.end())]
+        first = 0
+        while first < len(lines):
+            length = lines[first][1] - lines[first][0]
+            last = first + 1
+            while last < len(lines) and lines[last][1] - lines[last][0] == length:
+                last += 1
+            if last < len(lines) and lines[last][1] - lines[last][0] < length:
+                last += 1
+            if last - first > 1 and length >= 16:
+                yield lines[first:last]
+            first = max(last - 1, first + 1)
+
+
 def _base64(layer: Layer) -> Iterator[Layer]:
-    for start, end in sorted({m.span() for p in BASE64 for m in p.finditer(layer.text)}):
-        body = layer.text[start:end].rstrip("=")
+    runs = [[span] for span in {m.span() for p in BASE64 for m in p.finditer(layer.text)}]
+    for run in sorted(runs + list(_wrapped(layer.text))):
+        body = "".join(layer.text[a:b] for a, b in run).rstrip("=")
         if len(body) % 4 == 1:
             body = body[:-1]
         data = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
         if _opens(data):
-            whole = layer.at(start, end)
+            whole = layer.at(run[0][0], run[-1][1])
             for piece in _pieces(_inflated(data)):
                 if LONG.search(piece):
                     yield Layer(piece.decode("utf-8", "replace"), place=whole)
         elif LONG.search(data):  # byte i comes from the characters that hold its bits
             chars = _utf8(data)
-            places = [layer.at(start + i * 8 // 6, start + (j * 8 - 1) // 6 + 1) for _, i, j in chars]
+            at = range(*run[0]) if len(run) == 1 else [i for a, b in run for i in range(a, b)]
+            places = [layer.at(at[i * 8 // 6], at[(j * 8 - 1) // 6] + 1) for _, i, j in chars]
             yield Layer("".join(c for c, _, _ in chars), [p[0] for p in places], [p[1] for p in places])
 
 

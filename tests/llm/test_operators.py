@@ -63,6 +63,28 @@ def test_secrets_in_layers():
     assert secret_scan.scan("token: secret: abcdefghijklmnop") == []
 
 
+def test_secrets_in_base64_broken_into_lines():
+    import base64
+    import gzip
+
+    random = np.random.default_rng(5)
+    inner = b'password = "Zq8Kp2Lm9Rt4Wx"'
+    noise = bytes(random.integers(97, 123, 400, dtype=np.uint8))
+    for at in range(0, 90, 7):  # the secret falls on every place of a line
+        plain = noise[:at] + b"\n" + inner + b"\n" + noise
+        for layer in (plain, gzip.compress(plain), gzip.compress(base64.encodebytes(gzip.compress(plain)))):
+            lines = base64.encodebytes(layer).decode()
+            for wrapped in (lines, lines.replace("\n", "\r\n"), lines.replace("\n", "\n    ")):
+                text = f"begin:\n{wrapped}\nend of it\n"
+                spans = [s for s in secret_scan.scan(text) if s[0] == "assign"]
+                assert spans and all(7 <= a < b <= 7 + len(wrapped) for _, a, b, _ in spans)
+    # two blocks of other lengths behind each other
+    first, second = (base64.encodebytes(noise[:n] + b"\n" + inner).decode() for n in (50, 3))
+    text = first + "\n".join(second[i : i + 20] for i in range(0, len(second.strip()), 20))
+    assert len({s[:3] for s in secret_scan.scan(text) if s[0] == "assign"}) >= 2
+    assert secret_scan.scan("a word\nand another\n" * 50) == []
+
+
 def test_secrets_in_whole_layers():
     import base64
     import bz2
