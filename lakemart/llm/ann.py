@@ -68,12 +68,15 @@ def _score(k: int):
         v, q = _matrix(index.v), _matrix(queries.v)
         index_c, least = index.c.to_numpy(), index.least.to_numpy()
         parts = []
+        # A product of matrices may round otherwise than the sum below, by this share of the norms.
+        slack = 4 * v.shape[1] * np.finfo(float).eps * np.sqrt((v * v).sum(axis=1).max())
         for a in range(0, len(q), 256):
             product = q[a : a + 256] @ v.T
             for i, row in enumerate(product):
                 top = np.arange(len(row))
-                if len(row) > k:  # all that tie with the k-th stay for now
-                    top = np.flatnonzero(row >= np.partition(row, -k)[-k] - 1e-12)
+                if len(row) > k:  # all that may tie with the k-th stay for now
+                    near = slack * np.sqrt((q[a + i] ** 2).sum())
+                    top = np.flatnonzero(row >= np.partition(row, -k)[-k] - near)
                 exact = (v[top] * q[a + i]).sum(axis=1)
                 order = np.lexsort((least[top], -exact))[:k]
                 parts.append((a + i, top[order], exact[order]))

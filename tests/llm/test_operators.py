@@ -228,6 +228,24 @@ def test_components(spark):
     assert roots == {i: 1 for i in range(1, 21)} | {40: 40, 50: 40}
 
 
+def test_near_ties_at_large_norms():
+    random = np.random.default_rng(8)
+    import pandas as pd
+
+    for _ in range(20):
+        base = random.normal(size=24) * 1e4
+        v = base + random.integers(0, 3, size=(60, 24)) * 1e-11
+        q = random.normal(size=(3, 24)) * 1e4
+        ids = np.arange(60)
+        index = pd.DataFrame({"c": [str(i) for i in ids], "least": ids, "v": list(v)})
+        queries = pd.DataFrame({"c": [f"q{i}" for i in range(3)], "v": list(q)})
+        found = ann._score(5)(index, queries)
+        for i in range(3):
+            exact = (v * q[i]).sum(axis=1)
+            want = np.lexsort((ids, -exact))[:5]
+            assert found[found.q == f"q{i}"].c.astype(int).tolist() == want.tolist()
+
+
 def test_neighbours_without_cut(spark):
     random = np.random.default_rng(4)
     v = random.normal(size=(40, 5)).round(3)
