@@ -25,10 +25,16 @@ class Rule:
         return F.coalesce(F.expr(self.invalid), F.lit(False))
 
 
-def inexact(column: str, places: int) -> str:
-    """SQL predicate of a double that is no number of so many decimals, NaN and infinity included."""
-    unit, noise = f"1e{places}D", f"greatest(abs({column}) * {2.0**-40!r}D, 1e-{places + 6}D)"
-    return f"{column} IS NOT NULL AND NOT abs(rint({column} * {unit}) / {unit} - {column}) <= {noise}"
+def inexact(columns: Sequence[str], places: int) -> str:
+    """SQL predicate of doubles of which one is no number of so many decimals; NaN and infinity are none.
+
+    Each column is named once, so that a cast behind it is not made again for every use.
+    """
+    unit, noise = f"1e{places}D", f"greatest(abs(x) * {2.0**-40!r}D, 1e-{places + 6}D)"
+    return (
+        f"exists(array({', '.join(columns)}), "
+        f"x -> x IS NOT NULL AND NOT abs(rint(x * {unit}) / {unit} - x) <= {noise})"
+    )
 
 
 def invalid_rows(df: DataFrame, rule: Rule) -> DataFrame:

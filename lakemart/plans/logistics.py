@@ -29,7 +29,7 @@ PLACES = 6
 
 
 def _inexact(*columns: str) -> Rule:
-    return Rule("inexact_measure", " OR ".join(f"({inexact(c, PLACES)})" for c in columns))
+    return Rule("inexact_measure", inexact(columns, PLACES))
 
 
 INEXACT_LOADS = _inexact("weight_lbs", "revenue")
