@@ -35,8 +35,9 @@ def safe_cast(column: str | Column, to: str) -> Column:
         return value.try_cast(to)
     text = value.cast("string")
     whole = F.regexp_replace(F.trim(text), r"^([+-]?\d+)\.\d*$", "$1")
-    # The pattern runs only for text that is no plain integer.
-    return F.coalesce(text.try_cast(to), whole.try_cast(to))
+    # One cast: a failed one costs an exception, and none reads text with a point. The pattern runs
+    # only for such text.
+    return F.when(F.contains(text, F.lit(".")), whole).otherwise(text).try_cast(to)
 
 
 def ratio(top: str | Column, bottom: str | Column, digits: int = 2) -> Column:

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 
 from lakemart.functions.columns import named
 
+DIGEST = "_key_digest"
+
 
 def _names(key: str | Sequence[str]) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
@@ -52,6 +54,25 @@ def latest_state(
     )
 
 
+def repeated(df: DataFrame, key: str) -> DataFrame:
+    """Digests (64 bits) of the keys that more than one row has; a key on its own may share one."""
+    counted = df.groupBy(F.xxhash64(named(key)).alias(DIGEST)).agg(F.count("*").alias("_n"))
+    return counted.where("_n > 1").select(DIGEST)
+
+
+def latest_of_repeated(
+    df: DataFrame, key: str, recency: Sequence[str], digests: DataFrame
+) -> DataFrame:
+    """Latest row per key where only keys of ``digests`` can have more rows than one.
+
+    The other rows stay where they are: no shuffle, no sort. ``df`` is read twice, so it should be a table.
+    """
+    rows = df.withColumn(DIGEST, F.xxhash64(named(key)))
+    alone = rows.join(digests, DIGEST, "left_anti").select(*[named(c) for c in df.columns])
+    again = rows.join(digests, DIGEST, "left_semi").select(*[named(c) for c in df.columns])
+    return alone.unionByName(latest_state(again, key, recency))
+
+
 def first_row(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
     """First row per key under all columns ascending, NULL last."""
     keys = _names(key)

@@ -26,6 +26,16 @@ _COPY = "_copy"
 _TIMES = "_times"
 
 
+def tag(raw: DataFrame, spec: TableSpec, column: str) -> DataFrame:
+    """Typed rows with the first rule that each breaks, NULL for a valid one."""
+    return conform(raw, spec).withColumn(column, first_broken(spec.all_rules))
+
+
+def check(latest: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame]) -> DataFrame:
+    """Valid rows, one per key, restated and with the reason of the first foreign key that fails."""
+    return with_fk_reason(restate(latest, spec), spec.foreign_keys, parents, REASON)
+
+
 def classify(raw: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame]) -> DataFrame:
     """Typed rows plus ``quarantine_reason`` (NULL = accepted); superseded rows are gone.
 
@@ -35,9 +45,10 @@ def classify(raw: DataFrame, spec: TableSpec, parents: Mapping[str, DataFrame])
     partitions; exact duplicates of a partition become one row with a count, and as many rows
     again at the end. None of this depends on the order of rows, so a task that runs again can
     neither lose nor double a reject. Valid rows share one ``_copy`` value and so compete per key.
+    A job that writes the batch has no need of all this (``sinks.quarantine.write_batch``).
     ``parents`` must be unique on their key, as accepted Silver tables are.
     """
-    tagged = conform(raw, spec).withColumn(_RULE, first_broken(spec.all_rules))
+    tagged = tag(raw, spec, _RULE)
     row = F.to_json(F.struct(*[named(c) for c in tagged.columns]))
     content = F.concat_ws("/", F.sha2(row, 256), F.spark_partition_id())
     tagged = tagged.withColumn(_COPY, F.when(F.col(_RULE).isNotNull(), content))

@@ -12,7 +12,7 @@ from lakemart.plans.concurrent import each
 from lakemart.plans.logistics import SPECS
 from lakemart.plans.spec import TableSpec
 from lakemart.sinks.paths import delete, name_of
-from lakemart.sinks.quarantine import outcome_counts, write_classified
+from lakemart.sinks.quarantine import outcome_counts, write_batch
 from lakemart.sinks.reports import write_report
 from lakemart.sources.ranges import Quoting
 from lakemart.sources.raw import read_bronze
@@ -47,7 +47,7 @@ def run_silver(
 ) -> DataFrame:
     """Build all Silver tables, then publish them together; returns rows per table and outcome.
 
-    Per table there is one read of the batch and one write. The written table cuts the
+    Per table there is one read of the batch (``write_batch``). The written table cuts the
     lineage: children check their keys against Parquet, and a lost executor costs the
     running table only. Tables whose parents are written are built side by side. Readers see
     the former tables until all are written (``versions``): if one fails, none changes.
@@ -63,16 +63,14 @@ def run_silver(
 
     def build(name: str) -> tuple[DataFrame, list[tuple]]:
         batch = raw[name] if raw is not None else read_bronze(spark, lake, name, quoting=quoting)
-        classified = classify(batch, specs[name], published)
         path = f"{folder}/{name}"
         table, by = None, (dealt or {}).get(name)
         if by is not None:
             table = f"silver_{name}_{name_of(folder)}"
-        write_classified(classified, path, table, *(by or ()))
-        counts = outcome_counts(spark, path, classified.schema, name).collect()
+        schema = write_batch(batch, specs[name], published, path, table, *(by or ()))
+        counts = outcome_counts(spark, path, schema, name).collect()
         rejected = any(r.outcome != ACCEPTED for r in counts)
-        run, schema = name_of(folder), classified.schema
-        noted[name] = {"run": run, "schema": schema.jsonValue(), "rejected": rejected, "table": table}
+        noted[name] = {"run": name_of(folder), "schema": schema.jsonValue(), "rejected": rejected, "table": table}
         written = spark.read.schema(schema).parquet(path)
         return written.where(F.col(REASON) == ACCEPTED).drop(REASON), [tuple(r) for r in counts]
 

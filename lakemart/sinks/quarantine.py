@@ -10,24 +10,71 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from lakemart.operators.quarantine import QUARANTINED_AT, REASON
+from lakemart.functions.columns import named
+from lakemart.operators.dedup import DIGEST, latest_of_repeated, latest_state, repeated
+from lakemart.operators.quarantine import QUARANTINED_AT, REASON, check, tag
+from lakemart.plans.spec import TableSpec
+from lakemart.sinks.paths import delete, exists
 from lakemart.sources.tables import ACCEPTED, read_version
 from lakemart.sources.versions import current
 
+VALID = "__valid__"  # rows that keep the rules, before their keys are checked
+FEW = 500_000  # repeated keys that are treated apart: 4 MB of digests, which Spark sends to all tasks
 
-def write_classified(
-    classified: DataFrame, path: str, table: str | None = None, key: str | None = None, buckets: int = 0
-) -> None:
-    """Write a classified batch once, as one partition per outcome; it is never moved.
 
-    With ``table`` the same files are known to the catalog by that name, dealt and sorted by ``key``.
+def write_batch(
+    raw: DataFrame,
+    spec: TableSpec,
+    parents: Mapping[str, DataFrame],
+    path: str,
+    table: str | None = None,
+    key: str | None = None,
+    buckets: int = 0,
+) -> StructType:
+    """Classify a batch as ``operators.quarantine.classify`` does and write it, one folder per outcome.
+
+    The batch is read once: typed, checked by its rules and written, rejects to the folders where they
+    stay and valid rows to one for a while. Only their keys are counted then; rows of repeated
+    keys compete, the others go to the foreign keys as they are, without a shuffle for their key. So
+    rejects are never shuffled, and no row is for being unique. The batch's schema is returned.
+
+    With ``table`` the files are known to the catalog by that name, dealt and sorted by ``key``.
     """
-    rows = classified.withColumn(REASON, F.coalesce(F.col(REASON), F.lit(ACCEPTED)))
-    if table is None:
-        rows.write.partitionBy(REASON).parquet(path)
-        return
-    dealt = rows.repartition(buckets, key).write.format("parquet").partitionBy(REASON).bucketBy(buckets, key)
-    dealt.sortBy(key).option("path", path).saveAsTable(table)
+    spark = raw.sparkSession
+    arrived = path if table is None else f"{path}-arrived"
+    digests = f"{path}-repeated"
+    tagged = tag(raw, spec, REASON)
+    rows = tagged.drop(REASON)
+    schema = check(rows, spec, parents).schema
+    typed = tagged.select(
+        *[named(f.name).cast(f.dataType).alias(f.name) for f in schema.fields if f.name != REASON],
+        F.coalesce(REASON, F.lit(VALID)).alias(REASON),
+    )
+    typed.write.partitionBy(REASON).parquet(arrived)
+    waiting = f"{arrived}/{REASON}={VALID}"
+    if exists(spark, waiting):
+        valid = spark.read.schema(StructType([f for f in schema.fields if f.name != REASON])).parquet(waiting)
+        repeated(valid, spec.key).write.parquet(digests)
+        known = spark.read.schema(f"{DIGEST} long").parquet(digests)
+        often = known.count()
+        if not often:
+            latest = valid
+        elif often <= FEW:
+            latest = latest_of_repeated(valid, spec.key, spec.recency, known)
+        else:
+            latest = latest_state(valid, spec.key, spec.recency)
+        outcomes = check(latest, spec, parents).withColumn(REASON, F.coalesce(REASON, F.lit(ACCEPTED)))
+        if table is None:
+            outcomes.write.mode("append").partitionBy(REASON).parquet(path)
+            delete(spark, waiting)
+    if table is not None:
+        rejects = spark.read.schema(schema).parquet(arrived).where(F.col(REASON) != VALID)
+        every = outcomes.unionByName(rejects) if exists(spark, waiting) else rejects
+        dealt = every.repartition(buckets, key).write.format("parquet").partitionBy(REASON).bucketBy(buckets, key)
+        dealt.sortBy(key).option("path", path).saveAsTable(table)
+        delete(spark, arrived)
+    delete(spark, digests)
+    return schema
 
 
 def outcome_counts(spark: SparkSession, staged: str, schema: StructType, table: str) -> DataFrame:
