@@ -14,6 +14,7 @@ import sys
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pandas as pd
@@ -22,6 +23,9 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+TASK = 64 << 20  # bytes that a task should have at least
+PARTS, PART = 64, 128 << 20  # parts that a file is cut into by its ranges alone; bytes of a larger one
+GROUPS = 64  # groups that files are put together in
 BOM = b"\xef\xbb\xbf"  # left out by the line reader at the start of a file
 
 SCANNED = (
@@ -54,6 +58,17 @@ def lines(spark: SparkSession, source: str | list[str]) -> DataFrame:
     )
 
 
+def packed(df: DataFrame) -> DataFrame:
+    """The same rows in tasks of about 64 MB where ranges are small; a task has whole ranges, in order.
+
+    A task costs more than a small range, and with a task for each, what every task is told of all
+    ranges would be told again for each of them.
+    """
+    spark, ranges = df.sparkSession, df.rdd.getNumPartitions()
+    size = spark._jsparkSession.sessionState().conf().filesMaxPartitionBytes()
+    return df.coalesce(max(ranges * size // TASK, 4 * spark.sparkContext.defaultParallelism))
+
+
 def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple, list[bytes]]]:
     """((file, start, size), lines) of consecutive rows of one range."""
     for batch in batches:
@@ -171,27 +186,36 @@ def crc_of_both(a: int, b: int, length: int) -> int:
 
 
 def combined(found: pd.DataFrame) -> pd.DataFrame:
-    """The ranges of one file with the counts that hold; the file's checksum is at the last.
+    """The ranges of some files with the counts that hold; a file's checksum is at its last.
 
     A file is cut into parts at ranges, a range's first ``lead`` lines going to an earlier ``part``
     if it starts inside a record. ``odd`` says that the part that starts with the range gets such
-    lines, or starts with a byte order mark, or ends without a line end (``open``).
+    lines, or starts with a byte order mark, or ends without a line end (``open``). Of a file with
+    more than PARTS ranges several make up one part, up to PART bytes: files cost more than their bytes.
     """
-    found = found.sort_values("start", ignore_index=True)
-    size, total = int(found["size"][0]), int(found["bytes"].sum())
+    rows: list[dict] = []
+    for _, own in groupby(found.sort_values(["file", "start"]).itertuples(index=False), lambda r: r.file):
+        rows += _combined(list(own))
+    out = pd.DataFrame(rows)
+    return out.assign(crc=out.crc.astype("Int64"))
+
+
+def _combined(found: list) -> list[dict]:
+    size, total = int(found[0].size), sum(int(r.bytes) for r in found)
     ends = {0: (False, False), 1: (False, True), -3: (True, False), -2: (True, True)}
     if total - size not in ends:
-        raise ValueError(f"{found.file[0]}: {total} bytes read of {size}")
+        raise ValueError(f"{found[0].file}: {total} bytes read of {size}")
     bom, open_ = ends[total - size]
-    inside, part, odd = False, int(found.start[0]), set()
+    inside, part, odd = False, int(found[0].start), set()
+    step = max(1, min(-(-len(found) // PARTS), PART * len(found) // max(size, 1)))
     crc, rows = (zlib.crc32(BOM) if bom else 0), []
     if bom:
         odd.add(part)
-    for number, r in enumerate(found.itertuples(index=False)):
+    for number, r in enumerate(found):
         final, case = number == len(found) - 1, int(inside)
         bare = final and open_
         crc = crc_of_both(crc, r.bare if bare else r.crc, int(r.bytes) - bare)
-        lead = int(r.lead) if inside else 0
+        lead = r.lines if number % step else int(r.lead) if inside else 0
         if lead:
             odd.add(part)
         row = {"file": r.file, "start": r.start, "size": size, "lines": r.lines, "header": r.header}
@@ -204,8 +228,7 @@ def combined(found: pd.DataFrame) -> pd.DataFrame:
         rows.append(row | {"crc": crc if final else None})
     if open_:
         odd.add(part)
-    out = pd.DataFrame(rows)
-    return out.assign(crc=out.crc.astype("Int64"), odd=out.start.isin(odd))
+    return [row | {"odd": row["start"] in odd} for row in rows]
 
 
 def scan(spark: SparkSession, source: str | list[str], quoting: Quoting = Quoting()) -> DataFrame:
@@ -231,7 +254,8 @@ def scan(spark: SparkSession, source: str | list[str], quoting: Quoting = Quotin
             ("blanks", pa.list_(pa.int64())), ("lead", pa.int64()),
         ]
     )
-    return lines(spark, source).mapInArrow(count, SCANNED).groupBy("file").applyInPandas(combined, RANGES)
+    group = F.pmod(F.xxhash64("file"), F.lit(GROUPS))  # files of a group share one call
+    return packed(lines(spark, source)).mapInArrow(count, SCANNED).groupBy(group).applyInPandas(combined, RANGES)
 
 
 # Tasks get these functions with the job, so a cluster needs no copy of the library for them.
