@@ -10,8 +10,9 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lakemart.functions.columns import named
 from lakemart.plans.marts import Mart, Tables, with_dates
@@ -20,6 +21,15 @@ BUCKET = "key_bucket"
 BUCKETS = 64  # folders of a mart that is kept up to date by key
 
 
+def _told_apart(df: DataFrame, column: str) -> Column:
+    """A value that hashes differ for wherever the column's texts do."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, (T.FloatType, T.DoubleType)):
+        return F.when(named(column) == 0, F.xxhash64(named(column).cast("string"))).otherwise(F.xxhash64(named(column)))
+    atomic = isinstance(kind, (T.StringType, T.NumericType, T.DateType, T.TimestampType, T.BooleanType, T.BinaryType))
+    return named(column) if atomic else F.to_json(F.struct(named(column)))
+
+
 def changed_rows(old: DataFrame, new: DataFrame, columns: Iterable[str]) -> DataFrame:
     """``columns`` of the rows that one of the versions has more often than the other.
 
@@ -30,11 +40,15 @@ def changed_rows(old: DataFrame, new: DataFrame, columns: Iterable[str]) -> Data
     def narrow(df: DataFrame, sign: int) -> DataFrame:
         # columns that only one version has count as null in the other
         every = sorted({*old.columns, *new.columns})
-        content = F.to_json(F.struct(*[(named(c) if c in df.columns else F.lit(None)).alias(c) for c in every]))
-        return df.select(*[named(c) for c in columns], F.md5(content).alias("_content"), F.lit(sign).alias("_sign"))
+        # hashes skip nulls, and take 0.0 and -0.0 for equal; text of the places that are null goes in front
+        nulls = F.concat(*[(F.when(named(c).isNull(), "0").otherwise("1") if c in df.columns else F.lit("0")) for c in every])
+        values = [nulls, *[_told_apart(df, c) for c in every if c in df.columns]]
+        digests = [F.xxhash64(F.lit(seed), *values).alias(f"_content_{seed}") for seed in (1, 2)]
+        return df.select(*[named(c) for c in columns], *digests, F.lit(sign).alias("_sign"))
 
     both = narrow(new, 1).unionByName(narrow(old, -1))
-    found = both.groupBy(*[named(c) for c in columns], "_content").agg(F.sum("_sign").alias("_n"))
+    by = [*[named(c) for c in columns], "_content_1", "_content_2"]
+    found = both.groupBy(*by).agg(F.sum("_sign").alias("_n"))
     return found.where("_n <> 0").select(*[named(c) for c in columns])
 
 
