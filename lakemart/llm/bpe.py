@@ -23,7 +23,7 @@ from pyspark.sql import Column, SparkSession
 from lakemart.llm.common import udf
 
 LEAF = 24  # bytes encoded directly, without halving
-REMEMBERED = 200_000  # encodings or pair checks in one generation of a memory
+REMEMBERED = 400_000  # encodings or pair checks in one generation of a memory
 REMEMBERED_CHARS = 32  # the longest string that is remembered
 # Between blank runs and what follows them no match can span, if these are the only blanks.
 SEGMENT = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
@@ -136,38 +136,45 @@ class Coder:
 
         Longest tokens are tried first; an end that leads nowhere is not tried again.
         """
-        starts, pairs, n = self.starts, self._pairs.new, len(piece)
+        starts, pairs, n = self.starts.get, self._pairs.new, len(piece)
         ids: list[int] = []
         ends = [0]  # of the tokens chosen
-        open_: list[list[tuple[int, int]]] = []  # tokens still to be tried, the longest last
+        open_: list[list[int]] = []  # tokens still to be tried (-1: none), by length, the longest last
         dead: set[tuple[int, int]] = set()  # (end, last token)
-        while ends[-1] < n:
-            at, last = ends[-1], ids[-1] if ids else -1
+        at, last = 0, -1
+        while at < n:
             if len(open_) < len(ends):
                 choices = []
                 for stop in range(at + 1, n + 1):
-                    token = starts.get(piece[at:stop])
+                    token = starts(piece[at:stop])
                     if token is None:
                         break
-                    if token >= 0:
-                        choices.append((stop, token))
+                    choices.append(token)
                 open_.append(choices)
             choices = open_[-1]
             while choices:
-                stop, token = choices.pop()
-                fits = last < 0 or pairs.get((last, token))
-                if fits is None:
-                    fits = self.stands(last, token)
-                    pairs = self._pairs.new
-                if fits and (stop, token) not in dead:
+                token = choices.pop()
+                if token < 0:
+                    continue
+                if last >= 0:
+                    fits = pairs.get((last, token))
+                    if fits is None:
+                        fits = self.stands(last, token)
+                        pairs = self._pairs.new
+                    if not fits:
+                        continue
+                stop = at + len(choices) + 1
+                if not dead or (stop, token) not in dead:
                     ids.append(token)
                     ends.append(stop)
+                    at, last = stop, token
                     break
             else:
                 dead.add((at, last))
                 open_.pop()
                 ids.pop()
                 ends.pop()
+                at, last = ends[-1], ids[-1] if ids else -1
         return ids
 
     def join(self, a: list[int], b: list[int]) -> list[int]:
