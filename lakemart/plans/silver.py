@@ -11,6 +11,7 @@ from lakemart.operators.quarantine import REASON, accepted, classify
 from lakemart.plans.concurrent import each
 from lakemart.plans.logistics import SPECS
 from lakemart.plans.spec import TableSpec
+from lakemart.session import hashed_joins
 from lakemart.sinks.paths import delete, name_of
 from lakemart.sinks.quarantine import outcome_counts, write_batch
 from lakemart.sinks.reports import write_report
@@ -75,7 +76,8 @@ def run_silver(
         return written.where(F.col(REASON) == ACCEPTED).drop(REASON), [tuple(r) for r in counts]
 
     try:
-        counts = _build_in_order(spark, specs, published, build)
+        with hashed_joins(spark):
+            counts = _build_in_order(spark, specs, published, build)
     except Exception:
         for name in dealt or {}:
             spark.sql(f"DROP TABLE IF EXISTS silver_{name}_{name_of(folder)}")
