@@ -84,17 +84,25 @@ def orphan_profile(
 ) -> DataFrame:
     """One row per relationship: distinct orphan values and non-NULL child rows.
 
-    The child is counted per key before the join, so hot keys never meet it.
+    One aggregation over both sides: rows of a hot key shrink before the shuffle, each side is
+    shuffled once and nothing is sorted. Keys of two types are compared as their common one.
     """
-    counted = (
-        child.where(named(column).isNotNull())
-        .groupBy(named(column).alias("_child_key"))
-        .agg(F.count("*").alias("_rows"))
+    types = [child.select(named(column)).schema[0].dataType, parent.select(named(parent_column)).schema[0].dataType]
+    both = F.coalesce(*[F.lit(None).cast(t) for t in types]).alias("_key")
+    common = child.sparkSession.range(0).select(both).schema[0].dataType
+
+    def side(df: DataFrame, key: str, is_child: bool) -> DataFrame:
+        marks = F.lit(is_child).alias("_is_child"), F.lit(not is_child).alias("_is_parent")
+        return df.where(named(key).isNotNull()).select(named(key).cast(common).alias("_key"), *marks)
+
+    matched = (
+        side(child, column, True)
+        .unionByName(side(parent, parent_column, False))
+        .groupBy("_key")
+        .agg(F.count_if("_is_child").alias("_rows"), F.some("_is_parent").alias("_known"))
     )
-    keys = parent.select(named(parent_column).alias("_parent_key")).distinct()
-    matched = counted.join(keys, F.col("_child_key") == F.col("_parent_key"), "left")
     return matched.agg(
-        F.count_if(F.col("_parent_key").isNull()).alias("orphan_values"),
+        F.count_if((F.col("_rows") > 0) & ~F.col("_known")).alias("orphan_values"),
         F.coalesce(F.sum("_rows"), F.lit(0)).alias("non_null_rows"),
     ).select(
         F.lit(name).alias("relationship"),
