@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 
+from pyspark.sql import functions as F
+
 from lakemart.plans.silver import run_silver
 from lakemart.plans.spec import TableSpec
 from lakemart.session import HASHED, configure, hashed_joins
@@ -31,3 +33,17 @@ def test_silver_files_are_compact(spark, tmp_path):
     run_silver(spark, f"file://{tmp_path}/lake", {"t": raw}, {"t": TableSpec("t", "k")})
     files = [f for _, _, names in os.walk(tmp_path / "lake" / "silver") for f in names if f.endswith(".parquet")]
     assert files and all(f.endswith(".zstd.parquet") for f in files)
+
+
+def test_shuffled_parts_of_a_task_are_bounded(spark):
+    configure(spark)
+    conf = {"spark.sql.adaptive.coalescePartitions.parallelismFirst": "false", "spark.sql.shuffle.partitions": "16"}
+    former = {n: spark.conf.get(n) for n in conf}
+    for n, v in conf.items():
+        spark.conf.set(n, v)
+    try:
+        sums = spark.range(0, 1_600_000, 1, 4).groupBy("id").agg(F.sum(F.xxhash64("id")).alias("s"))
+        assert sums.select(F.spark_partition_id()).distinct().count() >= 2  # about 30 MB
+    finally:
+        for n, v in former.items():
+            spark.conf.set(n, v)
