@@ -263,6 +263,24 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInPandas(compare, "a long, b long")
 
 
+def _several_roots(members: DataFrame) -> DataFrame:
+    """(key, most, n, roots, who) of the parts (key, id, root) that hold several components.
+
+    Dealt by part once. Nearly every part has one member for each root, so to sum up by part and
+    root first, dealt by both, would save little and shuffle everything twice.
+    """
+    per_root = members.repartition("key").groupBy("key", "root").agg(
+        F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("who")
+    )
+    per_part = per_root.groupBy("key").agg(
+        F.max(F.struct("n", "root")).alias("most"),
+        F.sum("n").alias("n"),
+        F.count("*").alias("roots"),
+        F.bit_xor("who").alias("who"),
+    )
+    return per_part.where("roots > 1")
+
+
 def _blocks(sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     """(block, side, id, root) for parts that hold several components."""
 
@@ -282,17 +300,8 @@ def _blocks(sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     known = sets.select("id", "tokens").join(roots, "id", "left")
     known = known.select("id", F.coalesce("root", "id").alias("root"), "tokens")
     members = written(known.mapInPandas(emit, "key long, id long, root long"), "parts")
-    per_root = members.groupBy("key", "root").agg(
-        F.count("*").alias("n"), F.bit_xor(F.xxhash64("id")).alias("who")
-    )
-    open_ = per_root.groupBy("key").agg(
-        F.max(F.struct("n", "root")).alias("most"),
-        F.sum("n").alias("n"),
-        F.count("*").alias("roots"),
-        F.bit_xor("who").alias("who"),
-    )
     # Two sets alike in many parts meet in all of them; parts with the same members count once.
-    open_ = open_.where("roots > 1").groupBy("who", "n").agg(
+    open_ = _several_roots(members).groupBy("who", "n").agg(
         F.min("key").alias("key"), F.min("most").alias("most")
     )
     open_ = open_.select(
@@ -302,7 +311,10 @@ def _blocks(sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
         F.ceil((F.col("n") - F.col("most.n")) / BLOCK).alias("few_cuts"),
     )
     open_ = written(open_, "open")
-    rows = members.join(open_, "key")
+    # Few members are left: they are written, so that both sides below read them, not all members twice.
+    rows = written(small_join(members, open_, ["key"], weight=F.lit(len(open_.columns))), "open_members")
+    discard(members)
+    discard(open_)
     many = rows.select(
         "key",
         F.pmod(F.xxhash64("id"), "cuts").alias("x"),
@@ -321,8 +333,7 @@ def _blocks(sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     )
     blocks = many.unionByName(few).withColumn("block", F.xxhash64("key", "x", "y"))
     blocks = written(blocks.select("block", "side", "id", "root"), "blocks")
-    discard(members)
-    discard(open_)
+    discard(rows)
     return blocks
 
 

@@ -42,7 +42,7 @@ def test_shuffled_parts_of_a_task_are_bounded(spark):
     for n, v in conf.items():
         spark.conf.set(n, v)
     try:
-        sums = spark.range(0, 1_600_000, 1, 4).groupBy("id").agg(F.sum(F.xxhash64("id")).alias("s"))
+        sums = spark.range(0, 1_600_000, 1, 4).groupBy(F.xxhash64("id").alias("k")).agg(F.sum("id").alias("s"))
         assert sums.select(F.spark_partition_id()).distinct().count() >= 2  # about 30 MB
     finally:
         for n, v in former.items():
