@@ -20,10 +20,11 @@ import pandas as pd
 import regex
 from pyspark.sql import Column, SparkSession
 
-from lakemart.llm.common import udf
+from lakemart.llm.common import kept, udf
 
 LEAF = 24  # bytes encoded directly, without halving
 REMEMBERED = 400_000  # encodings or pair checks in one generation of a memory
+BESIDE_IDS = 150_000  # the same where whole lists of ids are handed on, too
 REMEMBERED_CHARS = 32  # the longest string that is remembered
 # Between blank runs and what follows them no match can span, if these are the only blanks.
 SEGMENT = re.compile(r"[ \t-\r]*[^ \t-\r]+|[ \t-\r]+")
@@ -40,7 +41,8 @@ def read_ranks(path: str) -> bytes:
 class Memory:
     """A bounded dictionary of two generations: what is used stays, the rest goes at once."""
 
-    def __init__(self):
+    def __init__(self, most: int):
+        self.most = most  # of one generation
         self.new: dict = {}
         self.old: dict = {}
 
@@ -53,7 +55,7 @@ class Memory:
         return found
 
     def put(self, key, value) -> None:
-        if len(self.new) >= REMEMBERED:
+        if len(self.new) >= self.most:
             self.old, self.new = self.new, {}
         self.new[key] = value
 
@@ -61,7 +63,7 @@ class Memory:
 class Coder:
     """Encodes and decodes by a rank file's content and a splitting pattern."""
 
-    def __init__(self, content: bytes, pattern: str):
+    def __init__(self, content: bytes, pattern: str, remembered: int = REMEMBERED):
         self.ranks = {
             base64.b64decode(token): int(rank) for token, rank in map(bytes.split, content.splitlines())
         }
@@ -70,8 +72,8 @@ class Coder:
         # What a token can start with: its rank if it is a token itself, else -1.
         self.starts = {t[:i]: -1 for t in self.ranks for i in range(1, len(t))} | self.ranks
         self.pattern = regex.compile(pattern)
-        self._strings = Memory()
-        self._pairs = Memory()
+        self._strings = Memory(remembered)
+        self._pairs = Memory(remembered)
 
     def leaf(self, piece: bytes) -> list[int]:
         """Merges the lowest rank first, leftmost of equals; for a few bytes."""
@@ -237,26 +239,25 @@ class Coder:
         return b"".join(map(self.tokens.__getitem__, ids))
 
 
-_CODERS: dict[tuple[bytes, str], Coder] = {}  # of this Python worker, for all its tasks
+def _coder(content: bytes, pattern: str, remembered: int) -> Coder:
+    """This Python worker's coder, for all its tasks."""
+    coders = kept("bpe")
+    key = hashlib.sha256(content).digest(), pattern, remembered
+    if key not in coders:
+        coders.clear()
+        coders[key] = Coder(content, pattern, remembered)
+    return coders[key]
 
 
-def _coder(content: bytes, pattern: str) -> Coder:
-    key = hashlib.sha256(content).digest(), pattern
-    if key not in _CODERS:
-        _CODERS.clear()
-        _CODERS[key] = Coder(content, pattern)
-    return _CODERS[key]
-
-
-def _shared(spark: SparkSession, path: str, pattern: str):
+def _shared(spark: SparkSession, path: str, pattern: str, remembered: int = REMEMBERED):
     """A function that gives each Python worker its coder; the file's content is broadcast."""
     content = spark.sparkContext.broadcast(read_ranks(path))
-    return lambda: _coder(content.value, pattern)
+    return lambda: _coder(content.value, pattern, remembered)
 
 
 def encoder(spark: SparkSession, path: str, pattern: str):
     """A column function: text to its ids (array of int); null text as empty."""
-    coder = _shared(spark, path, pattern)
+    coder = _shared(spark, path, pattern, BESIDE_IDS)
 
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         own = coder()

@@ -29,10 +29,12 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from lakemart.llm.common import bucketed, discard, drop_bucketed, ship, small_join, udf, written
+from lakemart.llm.common import bucketed, discard, drop_bucketed, kept, ship, small_join, udf, written
 from lakemart.llm.components import components
 
 BLOCK = 512  # members of a side of a block
+FIRST, SECOND, BOTH = 0, 1, 2  # sides of a block that a row belongs to
+CELLS = 1 << 18  # words of signatures that are compared at once, 2 MB
 WIDTH = 4  # bits of a signature per shingle, at least
 PACKED = 6  # bytes of a hash that are kept to compare two sets
 LEAF = 16  # rows of a tree's leaf, and children of a node
@@ -51,9 +53,6 @@ class _Hashes(dict):
         return found
 
 
-_HASHES = _Hashes()
-
-
 def _mixed(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(32))) * _B
     return h ^ (h >> np.uint64(29))
@@ -66,7 +65,7 @@ def shingles(text: str | None, k: int) -> np.ndarray:
     """
     words = (text or "").encode("utf-8").lower().split()
     n = len(words)
-    h = np.fromiter(map(_HASHES.__getitem__, words), np.uint64, n)
+    h = np.fromiter(map(kept("jaccard", _Hashes).__getitem__, words), np.uint64, n)
     with np.errstate(over="ignore"):
         width = min(k, n)
         total = np.zeros(max(n - width + 1, 0) if n else 0, np.uint64)
@@ -153,10 +152,17 @@ def _met(ids: np.ndarray, counts: np.ndarray, key: np.ndarray) -> pd.DataFrame:
     rep = id_[np.flatnonzero(fresh)[np.cumsum(fresh) - 1]] if len(key) else id_
     pair = rep != id_
     pairs = pd.DataFrame({"id": rep[pair], "other": id_[pair]}).drop_duplicates()
-    single = pd.DataFrame({"key": key[fresh], "id": id_[fresh]})
-    pairs["key"] = pairs.other ^ pairs.id  # spreads them; no key is meant
-    return pd.concat([single.assign(other=pd.NA), pairs])[["key", "id", "other"]].astype(
-        {"other": "Int64"}
+    fresh_key, fresh_id = key[fresh], id_[fresh]
+    none = np.concatenate([np.ones(len(fresh_key), bool), np.zeros(len(pairs), bool)])
+    return pd.DataFrame(
+        {
+            # Of pairs the key only spreads them; none is meant.
+            "key": np.concatenate([fresh_key, (pairs.other ^ pairs.id).to_numpy(np.int64)]),
+            "id": np.concatenate([fresh_id, pairs.id.to_numpy(np.int64)]),
+            "other": pd.arrays.IntegerArray(
+                np.concatenate([np.zeros(len(fresh_key), np.int64), pairs.other.to_numpy(np.int64)]), none
+            ),
+        }
     )
 
 
@@ -263,6 +269,19 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInPandas(compare, "a long, b long")
 
 
+def _open_members(members: DataFrame) -> DataFrame:
+    """The rows (key, id, root) of parts that hold several components.
+
+    Nearly all parts hold one. All members are dealt by part once and those that go on come out of
+    the same pass, so what all sets have in parts is neither written nor dealt a second time.
+    """
+    part = Window.partitionBy("key")
+    ends = members.repartition("key").select(
+        "key", "id", "root", F.min("root").over(part).alias("low"), F.max("root").over(part).alias("high")
+    )
+    return ends.where("low < high").select("key", "id", "root")
+
+
 def _several_roots(members: DataFrame) -> DataFrame:
     """(key, most, n, roots, who) of the parts (key, id, root) that hold several components.
 
@@ -299,9 +318,10 @@ def _blocks(sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
 
     known = sets.select("id", "tokens").join(roots, "id", "left")
     known = known.select("id", F.coalesce("root", "id").alias("root"), "tokens")
-    members = written(known.mapInPandas(emit, "key long, id long, root long"), "parts")
+    rows = _open_members(known.mapInPandas(emit, "key long, id long, root long"))
+    rows = written(rows, "open_members")
     # Two sets alike in many parts meet in all of them; parts with the same members count once.
-    open_ = _several_roots(members).groupBy("who", "n").agg(
+    open_ = _several_roots(rows).groupBy("who", "n").agg(
         F.min("key").alias("key"), F.min("most").alias("most")
     )
     open_ = open_.select(
@@ -311,23 +331,25 @@ def _blocks(sets: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
         F.ceil((F.col("n") - F.col("most.n")) / BLOCK).alias("few_cuts"),
     )
     open_ = written(open_, "open")
-    # Few members are left: they are written, so that both sides below read them, not all members twice.
-    rows = written(small_join(members, open_, ["key"], weight=F.lit(len(open_.columns))), "open_members")
+    members, rows = rows, small_join(rows, open_, ["key"], weight=F.lit(len(open_.columns)))
+    rows = written(rows, "once_members")  # both sides below read them
     discard(members)
     discard(open_)
+    # In a part of one block those that are on both sides come once.
+    alone = (F.col("cuts") == 1) & (F.col("root") != F.col("main"))
     many = rows.select(
         "key",
         F.pmod(F.xxhash64("id"), "cuts").alias("x"),
         F.explode(F.expr("sequence(0L, few_cuts - 1)")).alias("y"),
-        F.lit(0).alias("side"),
+        F.when(alone, BOTH).otherwise(FIRST).alias("side"),
         "id",
         "root",
     )
-    few = rows.where("root != main").select(
+    few = rows.where("root != main and cuts > 1").select(
         "key",
         F.explode(F.expr("sequence(0L, cuts - 1)")).alias("x"),
         F.pmod(F.xxhash64("id"), "few_cuts").alias("y"),
-        F.lit(1).alias("side"),
+        F.lit(SECOND).alias("side"),
         "id",
         "root",
     )
@@ -360,7 +382,11 @@ class Tree:
 
 def possible(x: tuple, i: np.ndarray, y: tuple, j: np.ndarray, percent: int) -> np.ndarray:
     """Which pairs of nodes i of level x and j of level y may hold a link between components."""
-    shared = np.bitwise_count(x[0][i] & y[0][j]).sum(axis=1).astype(np.int64)
+    shared = np.zeros(len(i), np.int64)
+    step = max(1, CELLS // x[0].shape[1])
+    for at in range(0, len(i), step):
+        some = slice(at, at + step)
+        shared[some] = np.bitwise_count(x[0][i[some]] & y[0][j[some]]).sum(axis=1)
     overlap = np.minimum(shared + np.minimum(x[3][i], y[3][j]), np.minimum(x[2][i], y[2][j]))
     asked = percent * (x[1][i] + y[1][j])  # / (100 + percent), for the least sizes
     one = (x[4][i] == x[5][i]) & (y[4][j] == y[5][j]) & (x[4][i] == y[4][j])
@@ -395,16 +421,15 @@ Rows = dict[str, np.ndarray]  # columns of one block, by side, root and id
 
 def _pairs_left(rows: Rows, percent: int) -> tuple[np.ndarray, np.ndarray]:
     """The pairs of rows of a block that its two trees leave."""
-    many = int(np.searchsorted(rows["side"], 1))
+    many, few = np.flatnonzero(rows["side"] != SECOND), np.flatnonzero(rows["side"] != FIRST)
     root, size = rows["root"], rows["size"].astype(np.int64)
-    if not 0 < many < len(root):
+    if not len(many) or not len(few):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     bits = even(rows["signature"].tolist())
-    i, j = descend(
-        Tree(bits[:many], size[:many], root[:many]), Tree(bits[many:], size[many:], root[many:]), percent
-    )
-    apart = root[i] != root[j + many]
-    return i[apart], j[apart] + many
+    i, j = descend(*(Tree(bits[at], size[at], root[at]) for at in (many, few)), percent)
+    i, j = many[i], few[j]
+    apart = root[i] != root[j]
+    return i[apart], j[apart]
 
 
 def _block_by_block(df: DataFrame, function, schema: str) -> DataFrame:
