@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, lru_cache
 
 import numpy as np
 import pandas as pd
@@ -32,9 +32,10 @@ from pyspark.sql import functions as F
 from lakemart.llm.common import bucketed, discard, drop_bucketed, kept, ship, small_join, udf, written
 from lakemart.llm.components import components
 
-BLOCK = 512  # members of a side of a block
+BLOCK = 2048  # members of a side of a block; a part of n members sends about 2 n * n / BLOCK
 FIRST, SECOND, BOTH = 0, 1, 2  # sides of a block that a row belongs to
 CELLS = 1 << 18  # words of signatures that are compared at once, 2 MB
+PAIRS = 1 << 16  # pairs of nodes that are looked at at once
 WIDTH = 4  # bits of a signature per shingle, at least
 PACKED = 6  # bytes of a hash that are kept to compare two sets
 LEAF = 16  # rows of a tree's leaf, and children of a node
@@ -394,14 +395,16 @@ def possible(x: tuple, i: np.ndarray, y: tuple, j: np.ndarray, percent: int) ->
 
 
 def descend(x: Tree, y: Tree, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows that the two trees leave, going down both level by level."""
-    i = j = np.zeros(1, np.int64)
-    a, b = len(x.levels) - 1, len(y.levels) - 1
-    while True:
+    """Pairs of rows that the two trees leave, going down both, PAIRS of nodes at a time."""
+    out = [(np.zeros(0, np.int64),) * 2]
+    work = [(len(x.levels) - 1, len(y.levels) - 1, np.zeros(1, np.int64), np.zeros(1, np.int64))]
+    while work:
+        a, b, i, j = work.pop()
         keep = possible(x.levels[a], i, y.levels[b], j, percent)
         i, j = i[keep], j[keep]
-        if not a and not b or not len(i):
-            return (i, j) if not a and not b else (i[:0], j[:0])
+        if not a and not b:
+            out.append((i, j))
+            continue
         if a >= b:
             a -= 1
             child = (i[:, None] * LEAF + np.arange(LEAF)).ravel()
@@ -414,6 +417,9 @@ def descend(x: Tree, y: Tree, percent: int) -> tuple[np.ndarray, np.ndarray]:
             i = np.repeat(i, LEAF)
             ok = child < len(y.levels[b][1])
             i, j = i[ok], child[ok]
+        work += [(a, b, i[at : at + PAIRS], j[at : at + PAIRS]) for at in range(0, len(i), PAIRS)]
+    i, j = (np.concatenate(side) for side in zip(*out, strict=True))
+    return i, j
 
 
 Rows = dict[str, np.ndarray]  # columns of one block, by side, root and id
@@ -468,7 +474,7 @@ def _left(percent: int):
 def _tree_links(percent: int):
     def links_of(rows: Rows) -> list[np.ndarray]:
         i, j = _pairs_left(rows, percent)
-        tokens = {k: unpacked(rows["tokens"][k]) for k in np.union1d(i, j).tolist()}
+        tokens = lru_cache(LEAF * LEAF)(lambda k: unpacked(rows["tokens"][k]))
         root, ids = rows["root"].tolist(), rows["id"]
         parent: dict[int, int] = {}
 
@@ -480,7 +486,7 @@ def _tree_links(percent: int):
         links = []
         for p, q in zip(i.tolist(), j.tolist(), strict=True):
             x, y = top(root[p]), top(root[q])
-            if x != y and alike(tokens[p], tokens[q], percent):
+            if x != y and alike(tokens(p), tokens(q), percent):
                 parent[max(x, y)] = min(x, y)
                 links.append((p, q))
         at = np.array(links, np.int64).reshape(-1, 2)

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import numpy as np
+from pyspark.sql import functions as F
+
 from lakemart.llm import common, jaccard
 from lakemart.llm.bpe import Memory
 
@@ -46,3 +49,31 @@ def test_memory_of_two_generations():
     for i in range(10):
         memory.put(i, i)
     assert len(memory.new) + len(memory.old) <= 6 and memory.get(9) == 9
+
+
+def test_trees_in_slices(monkeypatch):
+    """Whatever is looked at at once, the same pairs are left, and all that are alike among them."""
+    random = np.random.default_rng(3)
+    base = random.integers(0, 2**48, 300, np.int64).astype(np.uint64)
+    sets = [np.unique(np.where(random.random(300) < i / 150, base + np.uint64(i), base)) for i in range(60)]
+    bits = jaccard.even([jaccard.signature(s) for s in sets])
+    size, root = np.array([len(s) for s in sets]), np.arange(60)
+    tree = jaccard.Tree(bits, size, root)
+    whole = set(zip(*map(np.ndarray.tolist, jaccard.descend(tree, tree, 80)), strict=True))
+    monkeypatch.setattr(jaccard, "CELLS", 100)
+    monkeypatch.setattr(jaccard, "PAIRS", 7)
+    assert whole == set(zip(*map(np.ndarray.tolist, jaccard.descend(tree, tree, 80)), strict=True))
+    alike = {(i, j) for i in range(60) for j in range(60) if i != j and jaccard.alike(sets[i], sets[j], 80)}
+    assert alike and alike <= whole
+
+
+def test_members_of_a_block_are_sent_once(spark):
+    """In a part of one block a row is on both sides by its mark; larger parts are cut as before."""
+    words = [[f"w{i}" for i in range(60)] for _ in range(6)]
+    tokens = [jaccard.shingles(" ".join(w + [f"x{n}"] * (n > 0)), 3) for n, w in enumerate(words)]
+    rows = [(n, len(t), jaccard.signature(t), jaccard.packed(t)) for n, t in enumerate(tokens)]
+    sets = spark.createDataFrame(rows, "id long, size int, signature binary, tokens binary")
+    roots = spark.createDataFrame([(n, n) for n in range(6)], "id long, root long")
+    blocks = jaccard._blocks(sets, roots, 80)
+    most = blocks.groupBy("block").agg(F.count("*").alias("n"), F.count_distinct("id").alias("ids")).collect()
+    assert most and all(r.n == r.ids for r in most)
