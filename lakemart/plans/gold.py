@@ -28,6 +28,7 @@ from lakemart.plans.changes import (
 from lakemart.plans.concurrent import each
 from lakemart.plans.logistics import SPECS
 from lakemart.plans.marts import MARTS, Mart, with_dates
+from lakemart.session import hashed_joins
 from lakemart.sinks.paths import delete, exists, recover, staging_path, swap_in
 from lakemart.sinks.reports import write_report
 from lakemart.sinks.tables import (
@@ -82,10 +83,11 @@ def run_gold(
     silver = {name: read_silver(spark, lake, name) for name in SPECS}
     now = current(spark, f"{lake}/silver")
     before = _built_from(spark, lake) if mode == "upsert" else None
-    if mode == "upsert" and before is not None:
-        report = _update(spark, lake, silver, before, buckets)
-    else:
-        report = _refresh(spark, lake, silver, mode, buckets)
+    with hashed_joins(spark):
+        if mode == "upsert" and before is not None:
+            report = _update(spark, lake, silver, before, buckets)
+        else:
+            report = _refresh(spark, lake, silver, mode, buckets)
     if now is not None:
         tables = {"silver": {"run": now.run, "of": now.run, "buckets": buckets if mode == "upsert" else 0}}
         publish(spark, f"{lake}/gold", now.run, tables)
@@ -184,6 +186,10 @@ def _update(
         staged[mart.name] = stage(rows, f"{lake}/gold/{mart.name}")
         return mart, keys, read_path(spark, staged[mart.name], rows.schema)
 
+    def merge(item: tuple[str, tuple[Mart, DataFrame, DataFrame]]) -> None:
+        name, (mart, _, rows) = item
+        upsert_partitions(rows, f"{lake}/gold/{name}", mart.key, BUCKET, follows=True)
+
     try:
         changes = dict(filter(None, each(spark, compare, feed_columns(MARTS.values()).items())))
         built = {m.name: (m, keys, rows) for m, keys, rows in filter(None, each(spark, write, MARTS.values()))}
@@ -191,8 +197,7 @@ def _update(
             assertions = key_assertions({n: (rows, m.key) for n, (m, _, rows) in built.items()})
             require_pass(assertions, "grain")
         totals = _updated_totals(spark, silver["loads"], built)
-        for name, (mart, _, rows) in built.items():
-            upsert_partitions(rows, f"{lake}/gold/{name}", mart.key, BUCKET, follows=True)
+        each(spark, merge, built.items())
     finally:
         for path in staged.values():
             delete(spark, path)
