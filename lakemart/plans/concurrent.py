@@ -23,6 +23,7 @@ def each(spark: SparkSession, job: Callable[[A], B], items: Iterable[A]) -> list
     items = list(items)
     if not items:
         return []
-    target = inheritable_thread_target(spark)(job)
+    # A target for each: threads of one target share its local properties, and with them the number of the query.
+    targets = [inheritable_thread_target(spark)(job) for _ in items]
     with ThreadPoolExecutor(min(MAX_JOBS, len(items))) as pool:
-        return [f.result() for f in [pool.submit(target, item) for item in items]]
+        return [f.result() for f in [pool.submit(t, item) for t, item in zip(targets, items)]]

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lakemart.plans import gold, silver
+from lakemart.plans.concurrent import each
 from lakemart.session import HASHED
 from lakemart.sources.tables import read_gold
 
@@ -84,3 +85,15 @@ def test_marts_hash_narrow_sides(spark, deliveries, tmp_path, monkeypatch, mode)
         gold.run_gold(spark, lake, mode, buckets=2)
         assert {n: spark.conf.get(n) for n in HASHED} == former
     assert seen == [HASHED, HASHED]
+
+
+def test_jobs_side_by_side_have_properties_of_their_own(spark):
+    """Spark keeps the number of a running query there; one that another thread takes away fails the query."""
+    together = threading.Barrier(2)
+
+    def job(name):
+        spark.sparkContext.setLocalProperty("lakemart.test", name)
+        together.wait(60)
+        return spark.sparkContext.getLocalProperty("lakemart.test")
+
+    assert each(spark, job, ["a", "b"]) == ["a", "b"]
